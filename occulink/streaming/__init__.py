@@ -1,0 +1,8 @@
+"""Streaming.
+
+Both jobs this package rebuilds are batch jobs: the linkage result is a full
+refresh of a served table and the FASTA export rewrites a file set.  There is
+no stream source, watermark or state to carry over, so nothing lives here;
+the batch operators accept any DataFrame, including a micro-batch handed to
+``foreachBatch``.
+"""
