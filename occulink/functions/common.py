@@ -14,3 +14,29 @@ def as_col(c) -> Column:
 def false_if_null(c: Column) -> Column:
     """Three-valued predicate -> two-valued (NULL counts as false)."""
     return F.coalesce(c, F.lit(False))
+
+
+_MEMO: dict = {}
+
+
+def memo(key, build):
+    """Reuse a built Column within the active SparkContext.
+
+    Column objects are immutable expression trees, so the same one can appear
+    in many places; sharing them avoids rebuilding large trees through the
+    Python-JVM bridge (one round trip per node).
+    """
+    from pyspark import SparkContext
+
+    sc = SparkContext._active_spark_context
+    full = (id(sc), key)
+    if full not in _MEMO:
+        if len(_MEMO) > 4096:
+            _MEMO.clear()
+        _MEMO[full] = build()
+    return _MEMO[full]
+
+
+def literal_array(values: tuple) -> Column:
+    """A cached array literal of strings (one build per session)."""
+    return memo(("literal_array", values), lambda: F.array(*[F.lit(v) for v in values]))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from occulink.functions.common import as_col
+from occulink.functions.common import as_col, literal_array, memo
 
 # --- fixed values (must equal the reference's for identical results) --------
 # Characters removed from identifiers before comparison (regex character class).
@@ -84,13 +84,17 @@ OMITTED_IDENTIFIERS = tuple(
 
 def normalize_id(c) -> Column:
     """Upper-case, drop separator characters, empty -> NULL."""
-    cleaned = F.regexp_replace(F.upper(as_col(c)), IDENTIFIER_STRIP_CLASS, "")
-    return F.nullif(cleaned, F.lit(""))
+
+    def build():
+        cleaned = F.regexp_replace(F.upper(as_col(c)), IDENTIFIER_STRIP_CLASS, "")
+        return F.nullif(cleaned, F.lit(""))
+
+    return memo(("normalize_id", c), build) if isinstance(c, str) else build()
 
 
 def is_omitted_normalized(n: Column) -> Column:
     """True when an already-normalised value is NULL or in the omit list."""
-    return n.isNull() | n.isin(*OMITTED_IDENTIFIERS)
+    return n.isNull() | F.array_contains(literal_array(OMITTED_IDENTIFIERS), n)
 
 
 def is_eligible_normalized(n: Column) -> Column:
@@ -100,34 +104,50 @@ def is_eligible_normalized(n: Column) -> Column:
 
 def is_eligible(c) -> Column:
     """``isEligibleCode``: present, non-empty, and not omitted once normalised (S3)."""
-    c = as_col(c)
-    return F.coalesce(
-        c.isNotNull() & (F.length(c) != 0) & is_eligible_normalized(normalize_id(c)),
-        F.lit(False),
-    )
+
+    def build():
+        col = as_col(c)
+        return F.coalesce(
+            col.isNotNull() & (F.length(col) != 0) & is_eligible_normalized(normalize_id(c)),
+            F.lit(False),
+        )
+
+    return memo(("is_eligible", c), build) if isinstance(c, str) else build()
 
 
 def is_numeric(c) -> Column:
     """True when Java's ``Double.parseDouble`` would accept the string."""
-    return F.coalesce(as_col(c).rlike(JAVA_DOUBLE_PATTERN), F.lit(False))
+
+    def build():
+        return F.coalesce(as_col(c).rlike(JAVA_DOUBLE_PATTERN), F.lit(False))
+
+    return memo(("is_numeric", c), build) if isinstance(c, str) else build()
 
 
 def hash_or_null(c, allow_numeric: bool) -> Column:
     """Normalised code when eligible (and, if strict, the raw code is not numeric)."""
-    c = as_col(c)
-    cond = is_eligible(c)
-    if not allow_numeric:
-        cond = cond & ~is_numeric(c)
-    return F.when(cond, normalize_id(c))
+
+    def build():
+        cond = is_eligible(c)
+        if not allow_numeric:
+            cond = cond & ~is_numeric(c)
+        return F.when(cond, normalize_id(c))
+
+    return memo(("hash_or_null", c, allow_numeric), build) if isinstance(c, str) else build()
 
 
 def concat_if_eligible(sep: str, *atoms) -> Column:
     """All atoms eligible -> normalised atoms joined by ``sep``, else NULL."""
-    cols = [as_col(a) for a in atoms]
-    cond = is_eligible(cols[0])
-    for a in cols[1:]:
-        cond = cond & is_eligible(a)
-    return F.when(cond, F.concat_ws(sep, *[normalize_id(a) for a in cols]))
+
+    def build():
+        cond = is_eligible(atoms[0])
+        for a in atoms[1:]:
+            cond = cond & is_eligible(a)
+        return F.when(cond, F.concat_ws(sep, *[normalize_id(a) for a in atoms]))
+
+    if all(isinstance(a, str) for a in atoms):
+        return memo(("concat_if_eligible", sep, atoms), build)
+    return build()
 
 
 def triple_identifier(ic, cc, cn) -> Column:

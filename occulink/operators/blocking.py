@@ -46,7 +46,7 @@ def _codes(allow_numeric: bool) -> Column:
 
 def with_code_sets(recs: DataFrame) -> DataFrame:
     """Add the two per-record code sets (numeric codes allowed / not allowed)."""
-    return recs.withColumn("_codes", _codes(True)).withColumn("_strict_codes", _codes(False))
+    return recs.select("*", _codes(True).alias("_codes"), _codes(False).alias("_strict_codes"))
 
 
 def place_date_keys() -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from occulink.functions.records import record_json
+from occulink.functions.records import RECORD_COLUMNS, record_json
 from occulink.operators import facts as facts_mod
 from occulink.operators import rules
 from occulink.operators.features import FEATURE_FIELDS, comparison_features
@@ -27,6 +27,16 @@ def attach_records(pairs: DataFrame, features: DataFrame) -> DataFrame:
     return pairs.join(left, "id1").join(right, "id2").select("id1", "ds1", "id2", "ds2", "o1", "o2")
 
 
+def pair_records(pairs: DataFrame, recs: DataFrame) -> DataFrame:
+    """Candidate pairs expanded to both full records, columns prefixed
+    ``t1_`` / ``t2_`` (the wide pair table; J2, J3, PF7)."""
+    cols = [c for c in RECORD_COLUMNS if c in recs.columns]
+    t1 = recs.select(*[F.col(c).alias(f"t1_{c}") for c in cols])
+    t2 = recs.select(*[F.col(c).alias(f"t2_{c}") for c in cols])
+    joined = pairs.join(t1, pairs["id1"] == t1["t1_gbifId"]).join(t2, pairs["id2"] == t2["t2_gbifId"])
+    return joined.select(*[f"t1_{c}" for c in cols], *[f"t2_{c}" for c in cols])
+
+
 def judge(paired: DataFrame, strict_days: bool = False) -> DataFrame:
     """Add every fact column, ``reasons`` and ``related`` to a pair table."""
     a, b = facts_mod.sides("o1", "o2")

@@ -9,7 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job here relies on: UTC renders epoch dates the same
 # everywhere, AQE coalesces shuffle partitions and splits skewed ones.
+# Constraint propagation is off: the per-record rules are large expression
+# trees, and inferring constraints over their aliases grows super-linearly
+# (tens of seconds of optimiser time per plan); no plan here needs the
+# inferred filters.
 JOB_CONF = {
+    "spark.sql.constraintPropagation.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
