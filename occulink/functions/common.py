@@ -40,3 +40,13 @@ def memo(key, build):
 def literal_array(values: tuple) -> Column:
     """A cached array literal of strings (one build per session)."""
     return memo(("literal_array", values), lambda: F.array(*[F.lit(v) for v in values]))
+
+
+def distinct_present(arr: Column) -> Column:
+    """Distinct non-NULL elements of a string array (NULL array stays NULL).
+
+    ``array_except`` with a one-NULL array is code-generated, unlike
+    ``array_compact``/``filter``, which Spark evaluates as lambda functions
+    outside whole-stage codegen.
+    """
+    return F.array_except(arr, memo("null_string_array", lambda: F.array(F.lit(None).cast("string"))))

@@ -10,11 +10,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from occulink.functions.common import as_col, literal_array, memo
+from occulink.functions.common import as_col, distinct_present, literal_array, memo
 
 # --- fixed values (must equal the reference's for identical results) --------
 # Characters removed from identifiers before comparison (regex character class).
 IDENTIFIER_STRIP_CLASS = r"[-.*,_ :|/\\#%&]"
+# The same characters as a plain set, for ``translate`` (deletes each of them).
+IDENTIFIER_STRIP_CHARS = "-.*,_ :|/\\#%&"
+# Prefixes removed from other catalog numbers before the catalog-number rule.
+CATALOG_PREFIXES = ("Cat.", "Cat#", "cat.", "cat#")
 
 # Identifier values that never count as a match, as written in the source
 # list, in its order.  They are compared after normalisation (see
@@ -86,7 +90,7 @@ def normalize_id(c) -> Column:
     """Upper-case, drop separator characters, empty -> NULL."""
 
     def build():
-        cleaned = F.regexp_replace(F.upper(as_col(c)), IDENTIFIER_STRIP_CLASS, "")
+        cleaned = F.translate(F.upper(as_col(c)), IDENTIFIER_STRIP_CHARS, "")
         return F.nullif(cleaned, F.lit(""))
 
     return memo(("normalize_id", c), build) if isinstance(c, str) else build()
@@ -178,13 +182,31 @@ def list_identifiers(
 
 def strip_catalog_prefix(c) -> Column:
     """Remove a leading ``Cat.`` / ``Cat#`` (either case of the C)."""
-    return F.regexp_replace(as_col(c), r"^[Cc]at[.#]", "")
+    c = as_col(c)
+    return F.when(F.substring(c, 1, 4).isin(*CATALOG_PREFIXES), c.substr(F.lit(5), F.length(c))).otherwise(c)
 
 
 def normalized_identifier_set(ids: Column) -> Column:
     """Distinct normalised identifiers without NULL or omitted values (for F14)."""
-    normalized = F.transform(ids, normalize_id)
-    return F.array_distinct(F.filter(normalized, is_eligible_normalized))
+    return distinct_present(F.transform(ids, _kept_normalized))
+
+
+def _kept_normalized(c) -> Column:
+    n = normalize_id(c)
+    return F.when(is_eligible_normalized(n), n)
+
+
+def identifier_set(occurrence_id, field_number, record_number, catalog_number, ic, cc, other) -> Column:
+    """``normalized_identifier_set(list_identifiers(...))`` built from scalar
+    expressions, with a lambda only over the other-catalog-number list."""
+    singles = [
+        _kept_normalized(as_col(c)) for c in (occurrence_id, field_number, record_number, catalog_number)
+    ] + [
+        _kept_normalized(triple_identifier(ic, cc, catalog_number)),
+        _kept_normalized(scoped_identifier(ic, catalog_number)),
+    ]
+    others = F.transform(F.coalesce(as_col(other), F.array().cast("array<string>")), _kept_normalized)
+    return distinct_present(F.concat(F.array(*singles), others))
 
 
 def comparable_code(code: Column) -> Column:
@@ -201,8 +223,23 @@ def catalog_code(ic, cc, cn) -> Column:
 def other_catalog_codes(other_catalog_numbers) -> Column:
     """Other catalog numbers, prefix-stripped and comparable, NULLs skipped."""
     arr = as_col(other_catalog_numbers)
-    cleaned = F.transform(F.array_compact(arr), lambda x: comparable_code(strip_catalog_prefix(x)))
-    return F.array_distinct(F.array_compact(cleaned))
+    return distinct_present(F.transform(arr, lambda x: comparable_code(strip_catalog_prefix(x))))
+
+
+def _code_parts(occurrence_id, record_number, field_number, catalog_number, ic, cc, other, allow_numeric):
+    """Eligible codes of a record, each as (kept form, separator-free form)."""
+    singles = [hash_or_null(c, allow_numeric) for c in (occurrence_id, record_number, field_number, catalog_number)]
+    joined = []
+    for atoms in ((ic, cc, catalog_number), (ic, catalog_number)):
+        # atoms are normalised, so dropping the ``:`` separators normalises the joined form
+        bare = concat_if_eligible("", *atoms)
+        keep = is_eligible_normalized(bare)
+        joined.append((F.when(keep, concat_if_eligible(":", *atoms)), F.when(keep, bare)))
+    others = F.transform(
+        F.coalesce(as_col(other), F.array().cast("array<string>")),
+        lambda x: hash_or_null(x, allow_numeric),
+    )
+    return singles, joined, others
 
 
 def codes_and_ids(
@@ -214,23 +251,16 @@ def codes_and_ids(
     cc,
     other_catalog_numbers,
     allow_numeric: bool,
+    separators: bool = True,
 ) -> Column:
     """Every eligible form a record's codes are hashed under (``hashCodesAndIDs``).
 
     Single codes are normalised; the ``ic:cc:cn`` and ``ic:cn`` forms keep the
-    ``:`` separators and skip the numeric test.  The result is a distinct array.
+    ``:`` separators (``separators=False`` drops them, i.e. normalises them)
+    and skip the numeric test.  The result is a distinct array without NULLs.
     """
-    singles = [
-        hash_or_null(occurrence_id, allow_numeric),
-        hash_or_null(record_number, allow_numeric),
-        hash_or_null(field_number, allow_numeric),
-        hash_or_null(catalog_number, allow_numeric),
-        concat_if_eligible(":", ic, cc, catalog_number),
-        concat_if_eligible(":", ic, catalog_number),
-    ]
-    others = F.transform(
-        F.coalesce(as_col(other_catalog_numbers), F.array().cast("array<string>")),
-        lambda x: hash_or_null(x, allow_numeric),
+    singles, joined, others = _code_parts(
+        occurrence_id, record_number, field_number, catalog_number, ic, cc, other_catalog_numbers, allow_numeric
     )
-    codes = F.concat(F.array(*singles), others)
-    return F.array_distinct(F.filter(codes, is_eligible))
+    forms = [keep if separators else bare for keep, bare in joined]
+    return distinct_present(F.concat(F.array(*singles, *forms), others))

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from occulink.functions import identifiers, records
+from occulink.functions.common import distinct_present
 from occulink.functions.geo import round_half_up
 
 
@@ -31,7 +32,7 @@ def _keys_if(cond: Column, keys: Column) -> Column:
     return F.when(cond, keys).otherwise(_empty())
 
 
-def _codes(allow_numeric: bool) -> Column:
+def _codes(allow_numeric: bool, separators: bool = True) -> Column:
     return identifiers.codes_and_ids(
         "occurrenceID",
         "recordNumber",
@@ -41,21 +42,69 @@ def _codes(allow_numeric: bool) -> Column:
         "collectionCode",
         "otherCatalogNumbers",
         allow_numeric=allow_numeric,
+        separators=separators,
     )
 
 
-def with_code_sets(recs: DataFrame) -> DataFrame:
-    """Add the two per-record code sets (numeric codes allowed / not allowed)."""
-    return recs.select("*", _codes(True).alias("_codes"), _codes(False).alias("_strict_codes"))
+# per-record code sets: name -> (numeric codes allowed, keep ``:`` separators)
+CODE_SETS = {
+    "_codes": (True, True),
+    "_strict_codes": (False, True),
+    "_bare_codes": (True, False),
+    "_strict_bare_codes": (False, False),
+}
 
 
-def place_date_keys() -> Column:
-    """H1: species, coordinates to 3 decimals (Java rounding), and full date."""
+def with_code_sets(recs: DataFrame, names=("_codes", "_strict_codes")) -> DataFrame:
+    """Add per-record code sets (see ``CODE_SETS``) as array columns."""
+    return recs.select("*", *[_codes(*CODE_SETS[n]).alias(n) for n in names])
+
+
+_CODE_FIELDS = ("occurrenceID", "recordNumber", "fieldNumber", "catalogNumber")
+_JOINED = (("institutionCode", "collectionCode", "catalogNumber"), ("institutionCode", "catalogNumber"))
+
+
+def _single_codes(allow_numeric: bool) -> list[Column]:
+    return [identifiers.hash_or_null(c, allow_numeric) for c in _CODE_FIELDS]
+
+
+def _joined_codes(separators: bool) -> list[Column]:
+    """``ic:cc:cn`` and ``ic:cn`` (or their separator-free forms) when eligible."""
+    out = []
+    for atoms in _JOINED:
+        bare = identifiers.concat_if_eligible("", *atoms)
+        keep = identifiers.is_eligible_normalized(bare)
+        out.append(F.when(keep, identifiers.concat_if_eligible(":", *atoms) if separators else bare))
+    return out
+
+
+def _other_codes(allow_numeric: bool, prefix: Column | None = None) -> Column:
+    """Codes from the other-catalog-number list, optionally as ``prefix|code``.
+
+    The only lambda here runs over the raw list column, so everything else in
+    the key expressions stays code-generated.
+    """
+    others = F.coalesce(F.col("otherCatalogNumbers"), _empty())
+
+    def one(x):
+        code = identifiers.hash_or_null(x, allow_numeric)
+        return code if prefix is None else F.concat(prefix, F.lit("|"), code)
+
+    return F.transform(others, one)
+
+
+def _prefixed(prefix: Column, codes: list[Column]) -> Column:
+    return F.array(*[F.concat(prefix, F.lit("|"), c) for c in codes])
+
+
+def place_date_key() -> Column:
+    """H1 as a scalar: species, coordinates to 3 decimals (Java rounding) and
+    full date; NULL when any part is missing."""
     sp, lat, lng = F.col("speciesKey"), F.col("decimalLatitude"), F.col("decimalLongitude")
     y, m, d = F.col("year"), F.col("month"), F.col("day")
     key = F.concat_ws(
         "|",
-        sp,
+        F.upper(sp),
         round_half_up(lat * 1000.0).cast("string"),
         round_half_up(lng * 1000.0).cast("string"),
         y.cast("string"),
@@ -63,37 +112,50 @@ def place_date_keys() -> Column:
         d.cast("string"),
     )
     cond = lat.isNotNull() & lng.isNotNull() & y.isNotNull() & m.isNotNull() & d.isNotNull()
-    cond = cond & _present(sp)
-    return _keys_if(cond, F.array(key))
+    return F.when(cond & _present(sp), key)
+
+
+def place_date_keys() -> Column:
+    """H1 as an array (empty when the key is missing)."""
+    return _keys_if(place_date_key().isNotNull(), F.array(place_date_key()))
 
 
 def species_identifier_keys() -> Column:
-    """H2: species with each eligible code (numeric codes allowed)."""
+    """H2: species with each eligible code (numeric codes allowed, ``:`` kept)."""
     sp = F.col("speciesKey")
-    return _keys_if(_present(sp), F.transform("_codes", lambda c: F.concat_ws("|", sp, c)))
+    spu = F.upper(sp)
+    keys = F.concat(_prefixed(spu, _single_codes(True) + _joined_codes(True)), _other_codes(True, spu))
+    return _keys_if(_present(sp), keys)
 
 
-def type_keys() -> Column:
-    """H3: taxon with any stated type status."""
+def type_key() -> Column:
+    """H3 as a scalar: taxon with any stated type status, else NULL."""
     tk, ts = F.col("taxonKey"), F.col("typeStatus")
     cond = _present(tk) & ts.isNotNull() & (F.size(ts) > 0)
-    return _keys_if(cond, F.array(F.concat_ws("|", tk, F.lit("TYPE"))))
+    return F.when(cond, F.concat(F.upper(tk), F.lit("|TYPE")))
+
+
+def type_keys() -> Column:
+    """H3 as an array."""
+    return _keys_if(type_key().isNotNull(), F.array(type_key()))
 
 
 def recorder_keys() -> Column:
     """H4: year with each recorder (the taxon must be present but is not in the key)."""
     tk, y, rb = F.col("taxonKey"), F.col("year"), F.col("recordedBy")
     cond = _present(tk) & y.isNotNull() & rb.isNotNull()
-    keys = F.transform(rb, lambda r: F.concat_ws("|", y.cast("string"), F.coalesce(r, F.lit("null"))))
+    year = y.cast("string")
+    keys = F.transform(rb, lambda r: F.concat(year, F.lit("|"), F.upper(F.coalesce(r, F.lit("null")))))
     return _keys_if(cond, keys)
 
 
 def specimen_keys() -> Column:
-    """H5 + H6: for specimens, species with separator-free codes, and strict codes alone."""
+    """H5 + H6: for specimens, species with separator-free codes, and strict
+    (non-numeric) separator-free codes alone."""
     is_specimen = F.coalesce(F.col("basisOfRecord").isin(*records.HASHING_SPECIMEN_BASES), F.lit(False))
-    sp = F.coalesce(F.col("speciesKey"), F.lit("null"))
-    with_species = F.transform("_codes", lambda c: F.concat_ws("|", sp, identifiers.normalize_id(c)))
-    alone = F.transform("_strict_codes", identifiers.normalize_id)
+    sp = F.upper(F.coalesce(F.col("speciesKey"), F.lit("null")))
+    with_species = F.concat(_prefixed(sp, _single_codes(True) + _joined_codes(False)), _other_codes(True, sp))
+    alone = F.concat(F.array(*(_single_codes(False) + _joined_codes(False))), _other_codes(False))
     return _keys_if(is_specimen, F.concat(with_species, alone))
 
 
@@ -106,22 +168,121 @@ KEY_FAMILIES = {
 }
 
 
-def record_keys(recs: DataFrame, families=tuple(KEY_FAMILIES)) -> Column:
-    """All blocking keys of a record: upper-cased and distinct (H7, A3)."""
+def record_keys(families=tuple(KEY_FAMILIES)) -> Column:
+    """All blocking keys of a record: upper-cased, distinct, no NULLs (H7, A3).
+
+    Each family upper-cases its own parts (normalised codes already are), so
+    no lambda wraps the whole key set.
+    """
     parts = [KEY_FAMILIES[f]() for f in families]
-    keys = parts[0] if len(parts) == 1 else F.concat(*parts)
-    return F.array_distinct(F.transform(keys, F.upper))
+    return distinct_present(parts[0] if len(parts) == 1 else F.concat(*parts))
 
 
 def record_hashes(recs: DataFrame, families=tuple(KEY_FAMILIES)) -> DataFrame:
     """``(gbifId, datasetKey, hash)``, one row per distinct key of each record.
 
-    Runs map-side only: array functions plus ``explode``, no shuffle.
+    Runs map-side only, in two operators: a projection computing every
+    scalar part of the keys (code-generated: it holds no lambda), then the
+    ``explode`` that adds the per-element keys of the list fields (lambda
+    functions disable code generation for the operator holding them, so they
+    are kept to small expressions over prepared columns).
     """
-    coded = with_code_sets(recs.select(*_KEY_INPUT_COLUMNS))
-    return coded.select(
-        "gbifId", "datasetKey", F.explode(record_keys(coded, families)).alias("hash")
+    scalars = {}
+    lists = {}
+    for fam in families:
+        for name, expr in _SCALAR_PARTS[fam]().items():
+            scalars[name] = expr
+        lists[fam] = _LIST_PARTS[fam]
+    prepared = recs.select(
+        "gbifId",
+        "datasetKey",
+        "otherCatalogNumbers",
+        "recordedBy",
+        *[e.alias(n) for n, e in scalars.items()],
     )
+    parts = [lists[f]() for f in families]
+    keys = distinct_present(parts[0] if len(parts) == 1 else F.concat(*parts))
+    return prepared.select("gbifId", "datasetKey", F.explode(keys).alias("hash"))
+
+
+def _c(name: str) -> Column:
+    return F.col(name)
+
+
+def _scalar_place_date() -> dict:
+    return {"_k_place": place_date_key()}
+
+
+def _list_place_date() -> Column:
+    return F.array(_c("_k_place"))
+
+
+def _scalar_species_identifier() -> dict:
+    sp = F.col("speciesKey")
+    codes = _single_codes(True) + _joined_codes(True)
+    out = {"_sp_ok": _present(sp), "_spu": F.upper(sp)}
+    out.update({f"_k_sid{i}": F.concat(F.upper(sp), F.lit("|"), c) for i, c in enumerate(codes)})
+    return out
+
+
+def _list_species_identifier() -> Column:
+    fixed = F.array(*[_c(f"_k_sid{i}") for i in range(len(_CODE_FIELDS) + len(_JOINED))])
+    return _keys_if(_c("_sp_ok"), F.concat(fixed, _other_codes(True, _c("_spu"))))
+
+
+def _scalar_type() -> dict:
+    return {"_k_type": type_key()}
+
+
+def _list_type() -> Column:
+    return F.array(_c("_k_type"))
+
+
+def _scalar_recorder() -> dict:
+    tk, y = F.col("taxonKey"), F.col("year")
+    return {"_rec_ok": _present(tk) & y.isNotNull(), "_year": y.cast("string")}
+
+
+def _list_recorder() -> Column:
+    rb = F.col("recordedBy")
+    keys = F.transform(rb, lambda r: F.concat(_c("_year"), F.lit("|"), F.upper(F.coalesce(r, F.lit("null")))))
+    return _keys_if(_c("_rec_ok") & rb.isNotNull(), keys)
+
+
+def _scalar_specimen() -> dict:
+    sp = F.upper(F.coalesce(F.col("speciesKey"), F.lit("null")))
+    with_species = _single_codes(True) + _joined_codes(False)
+    alone = _single_codes(False) + _joined_codes(False)
+    out = {
+        "_spec_ok": F.coalesce(F.col("basisOfRecord").isin(*records.HASHING_SPECIMEN_BASES), F.lit(False)),
+        "_sp5": sp,
+    }
+    out.update({f"_k_spw{i}": F.concat(sp, F.lit("|"), c) for i, c in enumerate(with_species)})
+    out.update({f"_k_spa{i}": c for i, c in enumerate(alone)})
+    return out
+
+
+def _list_specimen() -> Column:
+    n = len(_CODE_FIELDS) + len(_JOINED)
+    fixed = F.array(*[_c(f"_k_spw{i}") for i in range(n)], *[_c(f"_k_spa{i}") for i in range(n)])
+    keys = F.concat(fixed, _other_codes(True, _c("_sp5")), _other_codes(False))
+    return _keys_if(_c("_spec_ok"), keys)
+
+
+_SCALAR_PARTS = {
+    "place_date": _scalar_place_date,
+    "species_identifier": _scalar_species_identifier,
+    "type": _scalar_type,
+    "recorder": _scalar_recorder,
+    "specimen": _scalar_specimen,
+}
+_LIST_PARTS = {
+    "place_date": _list_place_date,
+    "species_identifier": _list_species_identifier,
+    "type": _list_type,
+    "recorder": _list_recorder,
+    "specimen": _list_specimen,
+}
 
 
 _KEY_INPUT_COLUMNS = (

@@ -15,6 +15,11 @@ def distinct_sequences(df: DataFrame, column: str = "dnasequence") -> DataFrame:
     common sequence collapse map-side before the shuffle.
     """
     c = F.col(column)
+    spark = df.sparkSession
+    wanted = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < wanted:
+        # few large input splits (e.g. one small file): spread the cleaning work
+        df = df.repartition(wanted)
     return (
         df.where(c.isNotNull() & (F.length(c) > 0))
         .select(normalize_sequence(c).alias("seq"))

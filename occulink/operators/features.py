@@ -66,6 +66,18 @@ def input_projection(source: DataFrame, checklist_key: str) -> DataFrame:
     )
 
 
+def partition_by_record(recs: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Hash-partition records by ``gbifId`` (one shuffle of the narrow projection).
+
+    Everything derived per record (keys, comparison features, JSON) then runs
+    spread over ``partitions`` tasks whatever the input file layout, and the
+    joins back to records on ``id1`` / ``id2`` find the record side already
+    partitioned, so only the pair side moves.
+    """
+    n = partitions or int(recs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return recs.repartition(n, "gbifId")
+
+
 def record_identifiers() -> F.Column:
     """Raw identifier list of each record."""
     return identifiers.list_identifiers(
@@ -124,7 +136,15 @@ def comparison_features(recs: DataFrame) -> DataFrame:
         "day",
         "eventDate",
         dates.safe_date("year", "month", "day").alias("ymd"),
-        identifiers.normalized_identifier_set(record_identifiers()).alias("ids"),
+        identifiers.identifier_set(
+            "occurrenceID",
+            "fieldNumber",
+            "recordNumber",
+            "catalogNumber",
+            "institutionCode",
+            "collectionCode",
+            "otherCatalogNumbers",
+        ).alias("ids"),
         identifiers.catalog_code("institutionCode", "collectionCode", "catalogNumber").alias(
             "catalogCode"
         ),

@@ -30,6 +30,7 @@ class LinkageConfig:
     with_json: bool = True
     lineage: str | None = None  # None, "checkpoint" or "table"
     prefix: str = "occulink"  # stage table names when lineage == "table"
+    partitions: int | None = None  # record partitions (default: spark.sql.shuffle.partitions)
 
 
 @dataclass
@@ -53,7 +54,7 @@ def run_linkage(source: DataFrame, cfg: LinkageConfig = LinkageConfig()) -> Link
     if cfg.lineage == "table":
         sinks.drop_stage_tables(spark, cfg.prefix)
     recs = source if cfg.checklist_key is None else features.input_projection(source, cfg.checklist_key)
-    recs = stage(recs, "input")
+    recs = stage(features.partition_by_record(recs, cfg.partitions), "input")
     hashes = stage(blocking.record_hashes(recs), "hashes")
     filtered = blocking.filter_hashes(
         hashes, cfg.max_group_size, method=cfg.filter_method, stop_list_size=cfg.stop_list_size

@@ -41,7 +41,7 @@ def render_lists(df: DataFrame, names=LIST_FIELDS, prefix: str = "") -> DataFram
 
 def records(spark: SparkSession, data_dir: str) -> DataFrame:
     apply_job_conf(spark)
-    return features.input_projection(occurrence_source(spark, data_dir), CHECKLIST_KEY)
+    return features.partition_by_record(features.input_projection(occurrence_source(spark, data_dir), CHECKLIST_KEY))
 
 
 def _hashes(spark, data_dir, families=tuple(blocking.KEY_FAMILIES)) -> DataFrame:
