@@ -185,6 +185,11 @@ def q_relationships(spark, data_dir):
     return _relationships(spark, data_dir, with_json=False)
 
 
+def relationships_with_records(spark, data_dir):
+    """All seven relationship columns (ids, reasons, datasets, both records as JSON)."""
+    return _relationships(spark, data_dir, with_json=True)
+
+
 def q_relationship_json(spark, data_dir):
     return _relationships(spark, data_dir, with_json=True).select("id1", "id2", "o1", "o2")
 

@@ -22,7 +22,9 @@ JOB_CONF = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "occulink") -> SparkSession:
+def local_session(
+    cores: int | str = "*", shuffle_partitions: int = 8, app: str = "occulink", extra_conf: dict | None = None
+) -> SparkSession:
     """A local session for tests and the bench (UI off, quiet logs)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -32,7 +34,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("OCCULINK_DRIVER_MEMORY", "16g"))
     )
-    for k, v in JOB_CONF.items():
+    for k, v in {**JOB_CONF, **(extra_conf or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

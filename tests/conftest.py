@@ -13,7 +13,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from occulink.session import ensure_checkpoint_dir, local_session
 
-    s = local_session("*", shuffle_partitions=8, app="occulink-tests")
+    warehouse = tempfile.mkdtemp(prefix="occulink-test-wh-")
+    s = local_session("*", shuffle_partitions=8, app="occulink-tests", extra_conf={"spark.sql.warehouse.dir": warehouse})
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="occulink-test-ckpt-"))
     ensure_checkpoint_dir(s)
