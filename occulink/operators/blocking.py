@@ -19,7 +19,7 @@ from occulink.functions.geo import round_half_up
 def _empty() -> Column:
     return F.array().cast("array<string>")
 
-# Default size of the broadcast list of over-full keys; see ``filter_hashes``.
+# Default bound on the broadcast list of over-full keys; see ``filter_hashes``.
 DEFAULT_STOP_LIST_SIZE = 10_000
 
 
@@ -324,13 +324,14 @@ def filter_hashes(
 
     ``method="group"`` (default) counts keys with a map-side-combined
     aggregate and joins the verdict back.  It never gathers one key's rows in
-    one task before dropping them: the ``stop_list_size`` keys with the most
-    rows above the limit are removed map-side through a broadcast anti-join.
-    The list is a top-k of the key counts, so its size is bounded by
-    construction, and any key left outside it holds at most
-    ``total_rows / stop_list_size`` rows.  The remaining rows meet the
-    allowed keys in one shuffle on ``hash``, whose partitioning the pair
-    self-join then reuses.
+    one task before dropping them: keys holding more than
+    ``max(max_group_size, total_rows / stop_list_size)`` rows are removed
+    map-side through a broadcast anti-join.  Fewer than ``stop_list_size``
+    keys can exceed ``total_rows / stop_list_size`` rows, so the broadcast is
+    bounded by construction (``total_rows`` is a scalar subquery over the
+    counts), and every key that reaches the shuffle holds at most that many
+    rows.  The remaining rows meet the allowed keys in one shuffle on
+    ``hash``, whose partitioning the pair self-join then reuses.
 
     ``method="window"`` is the literal ``COUNT(*) OVER (PARTITION BY hash)``
     form, which buffers every row of a key in one task.
@@ -348,12 +349,9 @@ def filter_hashes(
     allowed = counts.where((F.col("cnt") > 1) & (F.col("cnt") <= max_group_size)).select("hash")
     rows = hashes
     if stop_list_size > 0:
-        heaviest = (
-            counts.where(F.col("cnt") > max_group_size)
-            .orderBy(F.col("cnt").desc(), F.col("hash"))
-            .limit(stop_list_size)
-            .select("hash")
-        )
+        total = counts.agg(F.sum("cnt")).scalar()
+        floor = F.greatest(F.lit(max_group_size), F.ceil(total / F.lit(stop_list_size)))
+        heaviest = counts.where(F.col("cnt") > floor).select("hash")
         rows = rows.join(F.broadcast(heaviest), "hash", "left_anti")
     return rows.join(allowed, "hash", "left_semi")
 

@@ -32,12 +32,10 @@ def fasta(df: DataFrame, column: str = "dnasequence") -> DataFrame:
     return distinct_sequences(df, column).select(fasta_record("seq").alias("f"))
 
 
-def write_fasta(fasta_df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Uncompressed text output (IO6, IO7).
+def write_fasta(fasta_df: DataFrame, path: str) -> None:
+    """Uncompressed text output (IO6, IO7), one part file per task.
 
-    ``single_file=True`` adds a ``repartition(1)`` after the distinct, so the
-    aggregate still runs in parallel and only the final write is one task;
-    leave it off for large outputs and concatenate the part files instead.
+    FASTA records are self-contained, so the part files concatenated in any
+    order form the export; no single task has to write all sequences.
     """
-    out = fasta_df.repartition(1) if single_file else fasta_df
-    out.write.mode("overwrite").option("compression", "none").text(path)
+    fasta_df.write.mode("overwrite").option("compression", "none").text(path)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from occulink.operators.fasta import fasta, write_fasta
 
 
-def run_fasta(source: DataFrame, target: str, column: str = "dnasequence", single_file: bool = False) -> DataFrame:
+def run_fasta(source: DataFrame, target: str, column: str = "dnasequence") -> DataFrame:
     out = fasta(source, column)
-    write_fasta(out, target, single_file=single_file)
+    write_fasta(out, target)
     return out
