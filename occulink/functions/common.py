@@ -50,3 +50,18 @@ def distinct_present(arr: Column) -> Column:
     outside whole-stage codegen.
     """
     return F.array_except(arr, memo("null_string_array", lambda: F.array(F.lit(None).cast("string"))))
+
+
+def memoized(fn):
+    """Decorator: build a function's Columns once per session and argument set.
+
+    For builders whose result depends only on column names and constants.
+    """
+    import functools
+
+    @functools.wraps(fn)
+    def wrapper(*args, **kwargs):
+        key = (fn.__module__, fn.__qualname__, args, tuple(sorted(kwargs.items())))
+        return memo(key, lambda: fn(*args, **kwargs))
+
+    return wrapper

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from occulink.functions.common import as_col, false_if_null
+from occulink.functions.common import as_col, false_if_null, memoized
 
 # --- fixed values (must equal the reference's for identical results) --------
 # Dataset keys of sequence repositories; their sparse records get one extra rule.
@@ -75,6 +75,7 @@ def list_column(df: DataFrame, name: str) -> Column:
     raise TypeError(f"column {name!r} must be array<string> or struct<concepts: array>, got {dtype}")
 
 
+@memoized
 def record_json(prefix: str = "", json_fields: tuple[str, ...] = ("media",)) -> Column:
     """JSON object of one record's columns, NULLs kept.
 

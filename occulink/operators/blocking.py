@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from occulink.functions import identifiers, records
-from occulink.functions.common import distinct_present
+from occulink.functions.common import distinct_present, memoized
 from occulink.functions.geo import round_half_up
 
 
@@ -209,14 +209,17 @@ def _c(name: str) -> Column:
     return F.col(name)
 
 
+@memoized
 def _scalar_place_date() -> dict:
     return {"_k_place": place_date_key()}
 
 
+@memoized
 def _list_place_date() -> Column:
     return F.array(_c("_k_place"))
 
 
+@memoized
 def _scalar_species_identifier() -> dict:
     sp = F.col("speciesKey")
     codes = _single_codes(True) + _joined_codes(True)
@@ -225,30 +228,36 @@ def _scalar_species_identifier() -> dict:
     return out
 
 
+@memoized
 def _list_species_identifier() -> Column:
     fixed = F.array(*[_c(f"_k_sid{i}") for i in range(len(_CODE_FIELDS) + len(_JOINED))])
     return _keys_if(_c("_sp_ok"), F.concat(fixed, _other_codes(True, _c("_spu"))))
 
 
+@memoized
 def _scalar_type() -> dict:
     return {"_k_type": type_key()}
 
 
+@memoized
 def _list_type() -> Column:
     return F.array(_c("_k_type"))
 
 
+@memoized
 def _scalar_recorder() -> dict:
     tk, y = F.col("taxonKey"), F.col("year")
     return {"_rec_ok": _present(tk) & y.isNotNull(), "_year": y.cast("string")}
 
 
+@memoized
 def _list_recorder() -> Column:
     rb = F.col("recordedBy")
     keys = F.transform(rb, lambda r: F.concat(_c("_year"), F.lit("|"), F.upper(F.coalesce(r, F.lit("null")))))
     return _keys_if(_c("_rec_ok") & rb.isNotNull(), keys)
 
 
+@memoized
 def _scalar_specimen() -> dict:
     sp = F.upper(F.coalesce(F.col("speciesKey"), F.lit("null")))
     with_species = _single_codes(True) + _joined_codes(False)
@@ -262,6 +271,7 @@ def _scalar_specimen() -> dict:
     return out
 
 
+@memoized
 def _list_specimen() -> Column:
     n = len(_CODE_FIELDS) + len(_JOINED)
     fixed = F.array(*[_c(f"_k_spw{i}") for i in range(n)], *[_c(f"_k_spa{i}") for i in range(n)])

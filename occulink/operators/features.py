@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from occulink.functions import dates, identifiers, lists, nulls, records
-from occulink.functions.common import false_if_null
+from occulink.functions.common import false_if_null, memoized
 
 # fixed value: taxonomic issue that disqualifies a record from linkage
 HIGHER_RANK_ISSUE = "TAXON_MATCH_HIGHERRANK"
@@ -119,10 +119,17 @@ FEATURE_FIELDS = (
 
 def comparison_features(recs: DataFrame) -> DataFrame:
     """One row per record with the derived values the pair rules compare."""
+    from pyspark.sql import types as T
+
     for name in LIST_COLUMNS:
-        if name in recs.columns:
+        if name in recs.columns and not isinstance(recs.schema[name].dataType, T.ArrayType):
             recs = recs.withColumn(name, records.list_column(recs, name))
-    return recs.select(
+    return recs.select(*_feature_columns())
+
+
+@memoized
+def _feature_columns() -> list:
+    return [
         "gbifId",
         "datasetKey",
         "speciesKey",
@@ -145,15 +152,11 @@ def comparison_features(recs: DataFrame) -> DataFrame:
             "collectionCode",
             "otherCatalogNumbers",
         ).alias("ids"),
-        identifiers.catalog_code("institutionCode", "collectionCode", "catalogNumber").alias(
-            "catalogCode"
-        ),
+        identifiers.catalog_code("institutionCode", "collectionCode", "catalogNumber").alias("catalogCode"),
         identifiers.other_catalog_codes("otherCatalogNumbers").alias("otherCodes"),
         lists.lowered_set("recordedBy").alias("recorders"),
         lists.contains_ignore_case("typeStatus", "HOLOTYPE").alias("hasHolotype"),
         nulls.not_empty("typeStatus").alias("hasType"),
         records.is_sequence_repository("datasetKey").alias("sequenceRepository"),
-        false_if_null(F.col("basisOfRecord").isin(*records.RULE_SPECIMEN_BASES)).alias(
-            "ruleSpecimen"
-        ),
-    )
+        false_if_null(F.col("basisOfRecord").isin(*records.RULE_SPECIMEN_BASES)).alias("ruleSpecimen"),
+    ]

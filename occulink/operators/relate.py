@@ -51,12 +51,11 @@ def judge(paired: DataFrame, strict_days: bool = False) -> DataFrame:
 
 def related_pairs(paired: DataFrame, strict_days: bool = False) -> DataFrame:
     """Related pairs, one direction (``id1 < id2``), with their reasons."""
-    a, b = facts_mod.sides("o1", "o2")
-    fact_cols = facts_mod.all_facts(a, b, strict_days)
-    return paired.where(rules.related(fact_cols, a, b)).select(
+    names = ("o1", "o2")
+    return paired.where(rules.related_named(names, strict_days)).select(
         "id1",
         "id2",
-        facts_mod.reasons(fact_cols).alias("reasons"),
+        facts_mod.reasons_named(names, strict_days).alias("reasons"),
         F.col("ds1").alias("dataset1"),
         F.col("ds2").alias("dataset2"),
     )

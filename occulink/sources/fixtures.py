@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from occulink.functions.common import memoized
 from occulink.sources.tables import read_dir_table
 
 # fixed values of the fixture
@@ -32,6 +33,12 @@ def occurrence_source(spark: SparkSession, data_dir: str) -> DataFrame:
     customer = read_dir_table(spark, data_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
     j = orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
 
+    return j.select(*_occurrence_columns())
+
+
+@memoized
+def _occurrence_columns() -> list[Column]:
+    """Column expressions of the occurrence view (built once per session)."""
     k, c, n = F.col("o_orderkey"), F.col("o_custkey"), F.col("c_nationkey")
     day_of_month = F.dayofmonth("o_orderdate")
     status = F.col("o_orderstatus")
@@ -45,7 +52,7 @@ def occurrence_source(spark: SparkSession, data_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("2000-0"), _s(month), F.lit("-0"), _s(day)))
     )
     empty = F.array().cast("array<string>")
-    return j.select(
+    return [
         _s(k).alias("gbifId"),
         F.when(k % 4 == 3, F.lit(REPOSITORY_DATASET))
         .otherwise(F.concat(F.lit("ds-"), _s(k % 4)))
@@ -100,7 +107,9 @@ def occurrence_source(spark: SparkSession, data_dir: str) -> DataFrame:
         ).alias("catalogNumber"),
         F.when(k % 5 != 0, F.array(F.col("c_name"), F.col("o_orderpriority"))).alias("recordedBy"),
         F.concat(F.lit('[{"id":'), _s(k), F.lit("}]")).alias("ext_multimedia"),
-    )
+    ]
+
+
 
 
 def sequence_source(spark: SparkSession, data_dir: str) -> DataFrame:
