@@ -73,3 +73,14 @@ def test_entry_contract(spark):
     assert df.columns == ["id1", "id2", "reasons", "dataset1", "dataset2", "o1", "o2"]
     assert set(oracle_sql()) <= set(queries())
     assert set(queries()) - set(oracle_sql()) == {"relationship_json"}
+
+
+def test_readers_by_name_and_path(spark):
+    from occulink.sources import read_table, use_database, write_table
+
+    path = os.path.join(SF_SMALL, "nation.parquet")
+    by_path = read_table(spark, path)
+    write_table(by_path, "t_nation")
+    use_database(spark, "default")
+    by_name = read_table(spark, "t_nation")
+    assert _rows(by_name) == _rows(by_path) and by_name.count() == 25
