@@ -115,19 +115,6 @@ def place_date_key() -> Column:
     return F.when(cond & _present(sp), key)
 
 
-def place_date_keys() -> Column:
-    """H1 as an array (empty when the key is missing)."""
-    return _keys_if(place_date_key().isNotNull(), F.array(place_date_key()))
-
-
-def species_identifier_keys() -> Column:
-    """H2: species with each eligible code (numeric codes allowed, ``:`` kept)."""
-    sp = F.col("speciesKey")
-    spu = F.upper(sp)
-    keys = F.concat(_prefixed(spu, _single_codes(True) + _joined_codes(True)), _other_codes(True, spu))
-    return _keys_if(_present(sp), keys)
-
-
 def type_key() -> Column:
     """H3 as a scalar: taxon with any stated type status, else NULL."""
     tk, ts = F.col("taxonKey"), F.col("typeStatus")
@@ -135,50 +122,7 @@ def type_key() -> Column:
     return F.when(cond, F.concat(F.upper(tk), F.lit("|TYPE")))
 
 
-def type_keys() -> Column:
-    """H3 as an array."""
-    return _keys_if(type_key().isNotNull(), F.array(type_key()))
-
-
-def recorder_keys() -> Column:
-    """H4: year with each recorder (the taxon must be present but is not in the key)."""
-    tk, y, rb = F.col("taxonKey"), F.col("year"), F.col("recordedBy")
-    cond = _present(tk) & y.isNotNull() & rb.isNotNull()
-    year = y.cast("string")
-    keys = F.transform(rb, lambda r: F.concat(year, F.lit("|"), F.upper(F.coalesce(r, F.lit("null")))))
-    return _keys_if(cond, keys)
-
-
-def specimen_keys() -> Column:
-    """H5 + H6: for specimens, species with separator-free codes, and strict
-    (non-numeric) separator-free codes alone."""
-    is_specimen = F.coalesce(F.col("basisOfRecord").isin(*records.HASHING_SPECIMEN_BASES), F.lit(False))
-    sp = F.upper(F.coalesce(F.col("speciesKey"), F.lit("null")))
-    with_species = F.concat(_prefixed(sp, _single_codes(True) + _joined_codes(False)), _other_codes(True, sp))
-    alone = F.concat(F.array(*(_single_codes(False) + _joined_codes(False))), _other_codes(False))
-    return _keys_if(is_specimen, F.concat(with_species, alone))
-
-
-KEY_FAMILIES = {
-    "place_date": place_date_keys,
-    "species_identifier": species_identifier_keys,
-    "type": type_keys,
-    "recorder": recorder_keys,
-    "specimen": specimen_keys,
-}
-
-
-def record_keys(families=tuple(KEY_FAMILIES)) -> Column:
-    """All blocking keys of a record: upper-cased, distinct, no NULLs (H7, A3).
-
-    Each family upper-cases its own parts (normalised codes already are), so
-    no lambda wraps the whole key set.
-    """
-    parts = [KEY_FAMILIES[f]() for f in families]
-    return distinct_present(parts[0] if len(parts) == 1 else F.concat(*parts))
-
-
-def record_hashes(recs: DataFrame, families=tuple(KEY_FAMILIES)) -> DataFrame:
+def record_hashes(recs: DataFrame, families=None) -> DataFrame:
     """``(gbifId, datasetKey, hash)``, one row per distinct key of each record.
 
     Runs map-side only, in two operators: a projection computing every
@@ -187,6 +131,7 @@ def record_hashes(recs: DataFrame, families=tuple(KEY_FAMILIES)) -> DataFrame:
     functions disable code generation for the operator holding them, so they
     are kept to small expressions over prepared columns).
     """
+    families = KEY_FAMILIES if families is None else tuple(families)
     scalars = {}
     lists = {}
     for fam in families:
@@ -294,28 +239,9 @@ _LIST_PARTS = {
     "specimen": _list_specimen,
 }
 
-
-_KEY_INPUT_COLUMNS = (
-    "gbifId",
-    "datasetKey",
-    "basisOfRecord",
-    "typeStatus",
-    "taxonKey",
-    "speciesKey",
-    "decimalLatitude",
-    "decimalLongitude",
-    "year",
-    "month",
-    "day",
-    "recordedBy",
-    "recordNumber",
-    "fieldNumber",
-    "occurrenceID",
-    "otherCatalogNumbers",
-    "institutionCode",
-    "collectionCode",
-    "catalogNumber",
-)
+# Key families: H1 place_date, H2 species_identifier, H3 type, H4 recorder,
+# H5 + H6 specimen.
+KEY_FAMILIES = tuple(_SCALAR_PARTS)
 
 
 def key_counts(hashes: DataFrame) -> DataFrame:

@@ -15,9 +15,12 @@ def distinct_sequences(df: DataFrame, column: str = "dnasequence") -> DataFrame:
     common sequence collapse map-side before the shuffle.
     """
     c = F.col(column)
-    spark = df.sparkSession
-    wanted = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < wanted:
+    try:
+        wanted = df.sparkSession.sparkContext.defaultParallelism
+        few_splits = df.rdd.getNumPartitions() < wanted
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): keep the input layout
+        few_splits = False
+    if few_splits:
         # few large input splits (e.g. one small file): spread the cleaning work
         df = df.repartition(wanted)
     return (
