@@ -70,12 +70,14 @@ def partition_by_record(recs: DataFrame, partitions: int | None = None) -> DataF
     """Hash-partition records by ``gbifId`` (one shuffle of the narrow projection).
 
     Everything derived per record (keys, comparison features, JSON) then runs
-    spread over ``partitions`` tasks whatever the input file layout, and the
-    joins back to records on ``id1`` / ``id2`` find the record side already
-    partitioned, so only the pair side moves.
+    spread over many tasks whatever the input file layout, and the joins back
+    to records on ``id1`` / ``id2`` find the record side already partitioned,
+    so only the pair side moves.  Without ``partitions`` the count follows
+    ``spark.sql.shuffle.partitions`` and AQE may coalesce small partitions.
     """
-    n = partitions or int(recs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return recs.repartition(n, "gbifId")
+    if partitions:
+        return recs.repartition(partitions, "gbifId")
+    return recs.repartition("gbifId")
 
 
 def record_identifiers() -> F.Column:
