@@ -7,14 +7,11 @@ the session names in ``spark.checkpoint.dir`` and read back.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
-from pyspark import SparkFiles  # noqa: F401  (kept importable for workers)
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-ROW = "__row"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -39,14 +36,20 @@ def stage(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did, also
+    when that place is not their working folder.  (A cluster without it there
+    gets the package by ``--py-files``.)"""
+    home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if home not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, home])
 
 
-def with_row(df: DataFrame, name: str = ROW) -> DataFrame:
-    """A row number that is unique in one evaluation of ``df``; stage the
-    result before it is used twice."""
-    return df.withColumn(name, F.monotonically_increasing_id())
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def ceil_div(a: int, b: int) -> int:

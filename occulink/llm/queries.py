@@ -10,25 +10,50 @@ from pyspark.sql import functions as F
 from occulink.llm.common import table
 
 
+def _tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_least_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from occulink.llm.packing import pack
+
+    pieces = pack(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op4_va_file_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from occulink.llm.topk import top_k
 
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op5_quality_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from occulink.llm.classifiers import quality_scores
+
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_one_bit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from occulink.llm.onebit import nearest
 
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op8_toxicity_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from occulink.llm.classifiers import toxicity_scores
+
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_histogram_sort_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from occulink.llm.sharding import histogram_sort_shards
 
     return histogram_sort_shards(table(spark, sf_dir, "documents"), shards=40)
 
 
-ALL = {f.__name__: f for f in (op4_va_file_top_k, op6_one_bit_neighbours, op10_histogram_sort_shards)}
+ALL = {f.__name__: f for f in (op1_least_squares_packing, op4_va_file_top_k, op5_quality_factorisation_machine, op6_one_bit_neighbours, op8_toxicity_factorisation_machine, op10_histogram_sort_shards)}
 
 ORACLE_SQL = {
     "op4_va_file_top_k": """
