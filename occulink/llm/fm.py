@@ -40,7 +40,7 @@ class Settings:
     least hash of their id); ``terms``: the most hashed terms it selects."""
 
     statistics: bool = True
-    sample_rows: int = 16_000
+    sample_rows: int = 30_000
     terms: int = 1_024
     least_docs: int = 4
     least_z: float = 4.0
@@ -101,8 +101,19 @@ def _raw(texts: pa.Array, with_statistics: bool) -> tuple[Words, np.ndarray, np.
     return w, term_hashes(w), statistics(texts, w) if with_statistics else np.zeros((len(texts), 0))
 
 
-def _sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, s: Settings) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Terms, statistics and labels of at most ``sample_rows`` documents."""
+@dataclass
+class Sample:
+    """Labelled documents: ``terms`` holds the hashed terms of document ``i`` at
+    the places where ``of`` is ``i``."""
+
+    terms: np.ndarray
+    of: np.ndarray
+    stats: np.ndarray
+    y: np.ndarray
+
+
+def _sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, s: Settings) -> Sample:
+    """At most ``sample_rows`` documents."""
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & learn)
     rows = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("__y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(s.sample_rows)
     picked = docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id")  # sample_rows ids at most
@@ -110,30 +121,25 @@ def _sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, s: Se
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             w, h, stats = _raw(text_column(b), s.statistics)
-            terms = [np.unique(h[w.codes[a:z]]).astype(np.int64) for a, z in zip(w.starts, w.starts[1:], strict=False)]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("__y"), pa.array(terms, pa.list_(pa.int64())), pa.array(list(stats), pa.list_(pa.float64()))], names=["doc_id", "y", "terms", "stats"]
-            )
+            h32 = h.astype(np.uint32)
+            terms = [np.unique(h32[w.codes[a:z]]).tobytes() for a, z in zip(w.starts, w.starts[1:], strict=False)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("__y"), pa.array(terms, pa.binary()), pa.array([x.tobytes() for x in stats], pa.binary())], names=["doc_id", "y", "terms", "stats"])
 
-    schema = T.StructType([docs.schema["doc_id"], *T._parse_datatype_string("y int, terms array<bigint>, stats array<double>").fields])
+    schema = T.StructType([docs.schema["doc_id"], *T._parse_datatype_string("y int, terms binary, stats binary").fields])
     got = picked.mapInArrow(read, schema).dropDuplicates(["doc_id"]).orderBy("doc_id").toArrow()
-    terms = [np.asarray(x, dtype=np.uint64) for x in got["terms"].to_pylist()]
-    stats = np.array(got["stats"].to_pylist(), dtype=float).reshape(len(terms), -1)
-    return terms, stats, np.array(got["y"].to_pylist(), dtype=float)
-
-
-def _select(terms: list[np.ndarray], y: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray]:
-    """Terms whose document share differs most between the labels, and the log
-    ratio of those shares."""
-    empty = np.zeros(0, np.uint64), np.zeros(0)
-    if not terms:
-        return empty
-    flat, of = np.concatenate(terms), np.repeat(np.arange(len(terms)), [len(t) for t in terms])
-    if not len(flat):
-        return empty
-    h, code = np.unique(flat, return_inverse=True)
-    df = np.bincount(code, minlength=len(h))
-    pos = np.bincount(code, weights=y[of], minlength=len(h))
+    raw, y = got["terms"].to_pylist(), got["y"].to_numpy().astype(float)
+    stats = np.frombuffer(b"".join(got["stats"].to_pylist()), np.float64).reshape(len(raw), -1) if raw else np.zeros((0, 0))
+    return Sample(np.frombuffer(b"".join(raw), np.uint32), np.repeat(np.arange(len(raw)), [len(x) // 4 for x in raw]), stats, y)
+
+
+def _select(sample: Sample, s: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Terms whose document share differs most between the labels, ascending, and
+    the log ratio of those shares."""
+    y = sample.y
+    h, code, df = np.unique(sample.terms, return_inverse=True, return_counts=True)
+    if not len(h):
+        return h.astype(np.uint64), np.zeros(0)
+    pos = np.bincount(code, weights=y[sample.of], minlength=len(h))
     n1 = max(y.sum(), 1e-9)
     n0 = max(len(y) - y.sum(), 1e-9)
     p, q, pool = pos / n1, (df - pos) / n0, df / len(y)
@@ -141,7 +147,7 @@ def _select(terms: list[np.ndarray], y: np.ndarray, s: Settings) -> tuple[np.nda
     keep = np.nonzero((df >= s.least_docs) & (np.abs(z) >= s.least_z))[0]
     keep = np.sort(keep[np.argsort(-np.abs(z[keep]), kind="stable")[: s.terms]])
     ratio = np.log((pos + 1) / (n1 + 2)) - np.log((df - pos + 1) / (n0 + 2))
-    return h[keep], ratio[keep]
+    return h[keep].astype(np.uint64), ratio[keep]
 
 
 def _bins(edges: np.ndarray, stats: np.ndarray) -> np.ndarray:
@@ -176,23 +182,23 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, settings:
     """Fit on documents whose ``labels`` row has a label and satisfies
     ``learn``.  A document's text is all that the model sees.  Without a labelled
     document the model gives every text 0.5; with one label only, a constant."""
-    terms, stats, y = _sample(docs, labels, label, learn, settings)
-    m = Model(settings)
+    sample = _sample(docs, labels, label, learn, settings)
+    m, stats, y = Model(settings), sample.stats, sample.y
     if not len(y):
         return m
-    m.hashes, m.scale = _select(terms, y, settings)
+    m.hashes, m.scale = _select(sample, settings)
     if settings.statistics:
         grid = np.arange(1, settings.bins) / settings.bins
         m.edges = np.quantile(stats, grid, axis=0).T
     slots = len(m.hashes) + settings.bins * len(m.edges)
     x = np.zeros((len(y), slots), np.float32)
-    for i, t in enumerate(terms):
-        at = np.searchsorted(m.hashes, t)
-        hit = at < len(m.hashes)
-        hit[hit] = m.hashes[at[hit]] == t[hit]
-        x[i, at[hit]] = m.scale[at[hit]]
+    if len(m.hashes):
+        at = np.minimum(np.searchsorted(m.hashes, sample.terms), len(m.hashes) - 1)
+        hit = m.hashes[at] == sample.terms
+        x[sample.of[hit], at[hit]] = m.scale[at[hit]]
     b = _bins(m.edges, stats) + len(m.hashes) + settings.bins * np.arange(len(m.edges))
-    np.put_along_axis(x, b, 1, axis=1)
+    if b.shape[1]:
+        np.put_along_axis(x, b, 1, axis=1)
     _learn(m, x, y)
     return m
 
