@@ -23,6 +23,18 @@ def op1_least_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op2_bayesian_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from occulink.llm.jaccard import jaccard_join
+
+    return jaccard_join(table(spark, sf_dir, "documents"))
+
+
+def op3_content_defined_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from occulink.llm.linedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "removed_chunks", "removed_chars", "text")
+
+
 def op4_va_file_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from occulink.llm.topk import top_k
 
@@ -41,19 +53,47 @@ def op6_one_bit_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op7_recursive_query_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from occulink.llm.bpe import digests
+
+    return digests(table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op8_toxicity_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     from occulink.llm.classifiers import toxicity_scores
 
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from occulink.llm.backoff import backoff_scores
+
+    return backoff_scores(table(spark, sf_dir, "documents"))
+
+
 def op10_histogram_sort_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     from occulink.llm.sharding import histogram_sort_shards
 
     return histogram_sort_shards(table(spark, sf_dir, "documents"), shards=40)
 
 
-ALL = {f.__name__: f for f in (op1_least_squares_packing, op4_va_file_top_k, op5_quality_factorisation_machine, op6_one_bit_neighbours, op8_toxicity_factorisation_machine, op10_histogram_sort_shards)}
+ALL = {
+    f.__name__: f
+    for f in (
+        op1_least_squares_packing,
+        op2_bayesian_jaccard_join,
+        op3_content_defined_line_dedup,
+        op4_va_file_top_k,
+        op5_quality_factorisation_machine,
+        op6_one_bit_neighbours,
+        op7_recursive_query_bpe,
+        op8_toxicity_factorisation_machine,
+        op9_stupid_backoff,
+        op10_histogram_sort_shards,
+    )
+}
 
 ORACLE_SQL = {
     "op4_va_file_top_k": """
@@ -73,6 +113,27 @@ ORACLE_SQL = {
                    CAST(row_number() OVER (PARTITION BY q_row ORDER BY score DESC, vec_id, row) AS INTEGER) AS rank
             FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op9_stupid_backoff": r"""
+        WITH docs AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+        words AS (
+            SELECT row, list_filter(regexp_split_to_array(lower(text), '\s+'), lambda x: x <> '') AS w FROM docs),
+        g AS (
+            SELECT row, unnest(w) AS w2, unnest(list_prepend(NULL, w)[:len(w)]) AS w1,
+                   unnest(list_prepend(NULL, list_prepend(NULL, w))[:len(w)]) AS w0
+            FROM words WHERE len(w) > 0),
+        n AS (
+            SELECT row, count(*) OVER (PARTITION BY w0, w1, w2) - 1 AS n3, count(*) OVER (PARTITION BY w0, w1) - 1 AS c3,
+                   count(*) OVER (PARTITION BY w1, w2) - 1 AS n2, count(*) OVER (PARTITION BY w1) - 1 AS c2,
+                   count(*) OVER (PARTITION BY w2) - 1 AS n1, count(*) OVER () AS total
+            FROM g),
+        s AS (
+            SELECT row, count(*) AS n_words,
+                   sum(ln(CASE WHEN n3 > 0 THEN n3 / c3 WHEN n2 > 0 THEN n2 / c2 * 0.4::DOUBLE
+                               ELSE greatest(n1, 1) / total * 0.4::DOUBLE * 0.4::DOUBLE END)) AS total_log
+            FROM n GROUP BY row)
+        SELECT doc_id, coalesce(n_words, 0) AS n_words, round(coalesce(total_log, 0), 6) AS log_score,
+               round(total_log / n_words, 6) AS mean_log
+        FROM docs LEFT JOIN s USING (row)""",
 }
 
 
