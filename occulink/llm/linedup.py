@@ -5,7 +5,10 @@ passage pasted into a paragraph falls into the same lines as anywhere else.  A
 rolling hash over the last ``window`` line hashes ends a chunk where it divides
 by ``divisor``: boundaries follow from nearby lines only and move along with
 them.  Chunk hashes are counted over all documents; a chunk that occurs again is
-compared byte by byte with its first occurrence and removed where it is equal.
+compared byte by byte with its first occurrence.  Neighbouring chunks that are
+equal to first ones make up a run, and runs of enough words are removed: a short
+line that is common by itself stays, the same line inside a passage goes.  Where
+a passage begins or ends inside a chunk, its lines there are compared one by one.
 """
 
 from __future__ import annotations
@@ -28,13 +31,11 @@ BASE, MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
 
 @dataclass(frozen=True)
 class Rules:
-    """``least_words``: words of a removable chunk of several lines;
-    ``line_words``: of one that is a single line."""
+    """``least_words``: words of a run of repeated chunks that is removed."""
 
     window: int = 2
     divisor: int = 2
-    least_words: int = 8
-    line_words: int = 16
+    least_words: int = 16
 
 
 def lines(text: str) -> Iterator[tuple[int, int]]:
@@ -47,14 +48,9 @@ def lines(text: str) -> Iterator[tuple[int, int]]:
         yield at, len(text)
 
 
-def content(text: str) -> str:
-    """What of a chunk is hashed and compared: its lines without outer spaces."""
-    return "\n".join(b for s, e in lines(text) if (b := text[s:e].strip()))
-
-
-def chunks(text: str, rules: Rules = Rules()) -> Iterator[tuple[int, int, str, int]]:
-    """``(start, end, content, lines)`` of each chunk; blank lines go with the
-    chunk that they follow or begin."""
+def chunks(text: str, rules: Rules = Rules()) -> Iterator[tuple[int, int, str]]:
+    """``(start, end, content)`` of each chunk; blank lines go with the chunk that
+    they follow or begin."""
     start = end = 0
     recent: list[int] = []
     bodies: list[str] = []
@@ -68,14 +64,23 @@ def chunks(text: str, rules: Rules = Rules()) -> Iterator[tuple[int, int, str, i
         for h in recent:
             roll = (roll * BASE + h) & MASK
         if (roll >> 32) % rules.divisor == 0:
-            yield start, end, "\n".join(bodies), len(bodies)
+            yield start, end, "\n".join(bodies)
             start, bodies = end, []
     if end > start:
-        yield start, end, "\n".join(bodies), len(bodies)
+        yield start, end, "\n".join(bodies)
 
 
-def removable(body: str, n_lines: int, rules: Rules) -> bool:
-    return len(body.split()) >= (rules.least_words if n_lines > 1 else rules.line_words)
+def holes(repeats: list[tuple[int, int, int, int]], rules: Rules = Rules()) -> list[tuple[int, int]]:
+    """Spans to remove from a text with the repeated chunks ``(at, begin, finish,
+    words)``, ascending: each run of neighbours that has enough words."""
+    out, run, words, last = [], [0, 0], 0, None
+    for at, begin, finish, n in [*repeats, (-1, 0, 0, 0)]:
+        if last is None or at != last + 1:
+            if words >= rules.least_words:
+                out.append((run[0], run[1]))
+            run, words = [begin, finish], 0
+        run[1], words, last = finish, words + n, at
+    return out
 
 
 def _signed(h: int) -> int:
@@ -83,14 +88,14 @@ def _signed(h: int) -> int:
 
 
 def chunk_rows(numbered: DataFrame, rules: Rules) -> DataFrame:
-    """``row, at, begin, finish, hash`` of the removable chunks of all texts."""
+    """``row, at, begin, finish, hash`` of the chunks of all texts (blank ones have none)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
             for row, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                for at, (s, e, body, n) in enumerate(chunks(text.as_py() or "", rules)):
-                    if removable(body, n, rules):
+                for at, (s, e, body) in enumerate(chunks(text.as_py() or "", rules)):
+                    if body:
                         out.append((row, at, s, e, _signed(xxhash.xxh64_intdigest(body, 1))))
             cols = list(zip(*out, strict=True)) or [()] * 5
             types = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
@@ -99,23 +104,75 @@ def chunk_rows(numbered: DataFrame, rules: Rules) -> DataFrame:
     return numbered.select("__row", "text").mapInArrow(cut, "row long, at int, begin int, finish int, hash long")
 
 
-def _bodies(with_spans: DataFrame) -> DataFrame:
+def _edge(text: str, chunk: tuple[int, int, str] | None) -> tuple[str, list[int], list[int]]:
+    """Content of a neighbouring chunk and where its lines begin and end."""
+    if chunk is None:
+        return "", [], []
+    at = [(chunk[0] + s, chunk[0] + e) for s, e in lines(text[chunk[0] : chunk[1]]) if text[chunk[0] + s : chunk[0] + e].strip()]
+    return chunk[2], [s for s, _ in at], [e for _, e in at]
+
+
+BODIES = pa.schema(
+    [("row", pa.int64()), ("at", pa.int32()), ("begin", pa.int32()), ("finish", pa.int32()), ("hash", pa.int64()), ("first", pa.bool_()), ("body", pa.string())]
+    + [("before", pa.string()), ("begins", pa.list_(pa.int32())), ("after", pa.string()), ("ends", pa.list_(pa.int32()))]
+)
+
+
+def _bodies(with_spans: DataFrame, rules: Rules) -> DataFrame:
+    """The repeated chunks with their contents and those of their neighbours; a
+    neighbour that is repeated itself matters for first occurrences only."""
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = []
             for row, text, spans in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
                 t = text.as_py()
-                out += [(row, x["at"], x["begin"], x["finish"], x["hash"], x["first"], content(t[x["begin"] : x["finish"]])) for x in spans.as_py()]
-            cols = list(zip(*out, strict=True)) or [()] * 7
-            types = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["row", "at", "begin", "finish", "hash", "first", "body"])
+                every, found, out = list(chunks(t, rules)), {x["at"] for x in spans.as_py()}, []
+                for x in spans.as_py():
+                    at, first = x["at"], x["first"]
+                    before, begins, _ = _edge(t, every[at - 1] if at and (first or at - 1 not in found) else None)
+                    after, _, ends = _edge(t, every[at + 1] if at + 1 < len(every) and (first or at + 1 not in found) else None)
+                    out.append((row, at, x["begin"], x["finish"], x["hash"], first, every[at][2], before, begins, after, ends))
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), BODIES, strict=True)], schema=BODIES)
+
+    kinds = "row long, at int, begin int, finish int, hash long, first boolean, body string, before string, begins array<int>, after string, ends array<int>"
+    return with_spans.select("__row", "text", "spans").mapInArrow(read, kinds)
+
+
+def _same(one: list[str], two: list[str]) -> int:
+    n = 0
+    while n < min(len(one), len(two)) and one[n] == two[n] != "":
+        n += 1
+    return n
+
+
+def _equal_spans(met: DataFrame) -> DataFrame:
+    """``row, at, begin, finish, words`` of the chunks that equal their first
+    occurrence, drawn out over the neighbouring lines that equal its lines too."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for x in b.to_pylist():
+                if x["body"] != x["one_body"]:
+                    continue
+                mine, theirs = x["before"].split("\n"), x["one_before"].split("\n")
+                back = _same(mine[::-1], theirs[::-1])
+                after = x["after"].split("\n")
+                ahead = _same(after, x["one_after"].split("\n"))
+                begin = x["begins"][-back] if back else x["begin"]
+                finish = x["ends"][ahead - 1] if ahead else x["finish"]
+                words = sum(len(w.split()) for w in (x["body"], *mine[len(mine) - back :], *after[:ahead]))
+                out.append((x["row"], x["at"], begin, finish, words))
+            cols = list(zip(*out, strict=True)) or [()] * 5
+            types = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["row", "at", "begin", "finish", "words"])
 
-    return with_spans.select("__row", "text", "spans").mapInArrow(read, "row long, at int, begin int, finish int, hash long, first boolean, body string")
+    return met.mapInArrow(compare, "row long, at int, begin int, finish int, words int")
 
 
 def remove_repeats(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """``docs`` with shortened ``text`` and, after its columns,
-    ``removed_chunks int`` and ``removed_chars long``.
+    ``removed_chunks int`` (runs of repeated chunks) and ``removed_chars long``.
 
     Of equal chunks the one of the least ``doc_id`` stays (then of the earlier
     row, then the earlier place; a null id comes first), also among repeats
@@ -123,7 +180,7 @@ def remove_repeats(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     empty, and a text of which all is repeated becomes empty.  Repeated rows are
     documents of their own, and any further columns are passed on.
     """
-    docs = docs.drop("__row", "removed_chunks", "removed_chars")
+    docs = docs.drop("__row", "__gone", "removed_chunks", "removed_chars")
     numbered = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "line-docs")
     ids = numbered.select(F.col("__row").alias("row"), "doc_id")
     # rows of a text lie together, so a chunk row needs its doc_id only to be the first
@@ -133,10 +190,10 @@ def remove_repeats(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     )
     repeated = cut.drop("doc_id").join(again, "hash").withColumn("first", (F.col("row") == F.col("one_row")) & (F.col("at") == F.col("one_at")))
     spans = repeated.groupBy(F.col("row").alias("__row")).agg(F.collect_list(F.struct("at", "begin", "finish", "hash", "first")).alias("spans"))  # one text's chunks
-    bodies = stage(_bodies(numbered.select("__row", "text").join(spans, "__row")), "line-bodies")
-    first = bodies.where("first").select("hash", F.col("body").alias("one_body"))
-    gone = bodies.where(~F.col("first")).join(first, "hash").where(F.col("body") == F.col("one_body"))
-    holes = gone.groupBy(F.col("row").alias("__row")).agg(F.sort_array(F.collect_list(F.struct("begin", "finish"))).alias("__holes"))
+    bodies = stage(_bodies(numbered.select("__row", "text").join(spans, "__row"), rules), "line-bodies")
+    first = bodies.where("first").select("hash", *(F.col(k).alias(f"one_{k}") for k in ("body", "before", "after")))
+    gone = _equal_spans(bodies.where(~F.col("first")).drop("first").join(first, "hash"))
+    gone = gone.groupBy(F.col("row").alias("__row")).agg(F.sort_array(F.collect_list(F.struct("at", "begin", "finish", "words"))).alias("__gone"))
 
     names = [f.name for f in numbered.schema.fields if f.name != "__row"]
     schema = T.StructType([*docs.schema.fields, T.StructField("removed_chunks", T.IntegerType()), T.StructField("removed_chars", T.LongType())])
@@ -145,12 +202,12 @@ def remove_repeats(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         for b in batches:
             texts, counts, chars = [], [], []
             for text, spans in zip(b.column(names.index("text")), b.column(len(names)), strict=True):
-                t, cuts = text.as_py(), spans.as_py() or []
+                t, cuts = text.as_py(), holes([tuple(x.values()) for x in spans.as_py() or []], rules)
                 if cuts:
                     at, kept = 0, []
-                    for x in cuts:
-                        kept.append(t[at : x["begin"]])
-                        at = x["finish"]
+                    for begin, finish in cuts:
+                        kept.append(t[at:begin])
+                        at = finish
                     left = "".join([*kept, t[at:]])
                     counts.append(len(cuts))
                     chars.append(len(t) - len(left))
@@ -162,4 +219,4 @@ def remove_repeats(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
             cols = [pa.array(texts, pa.string()) if k == "text" else b.column(i) for i, k in enumerate(names)]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(counts, pa.int32()), pa.array(chars, pa.int64())], names=[*names, "removed_chunks", "removed_chars"])
 
-    return numbered.join(holes, "__row", "left").select(*names, "__holes").mapInArrow(fill, schema)
+    return numbered.join(gone, "__row", "left").select(*names, "__gone").mapInArrow(fill, schema)
