@@ -22,12 +22,13 @@ def haversine_km(lat1, lng1, lat2, lng2) -> Column:
 
 
 def round_half_up(x) -> Column:
-    """``Math.round``: nearest long, ties toward +infinity, NaN -> 0.
+    """``Math.round``: nearest long, ties toward +infinity, NaN -> 0, values
+    beyond the long range (infinities too) -> its ends.
 
     ``x - floor(x)`` is exact for doubles, so this matches the JDK also where
     ``floor(x + 0.5)`` would round wrongly (e.g. 0.49999999999999994).
     """
     x = as_col(x)
     fl = F.floor(x)
-    rounded = F.when(x - fl >= 0.5, fl + 1).otherwise(fl)
+    rounded = F.when((x - fl >= 0.5) & (fl < F.lit((1 << 63) - 1)), fl + 1).otherwise(fl)
     return F.when(F.isnan(x), F.lit(0).cast("bigint")).otherwise(rounded)

@@ -91,7 +91,7 @@ def normalize_id(c) -> Column:
 
     def build():
         cleaned = F.translate(F.upper(as_col(c)), IDENTIFIER_STRIP_CHARS, "")
-        return F.nullif(cleaned, F.lit(""))
+        return F.when(cleaned != "", cleaned)  # nullif would become shared sub-expressions
 
     return memo(("normalize_id", c), build) if isinstance(c, str) else build()
 

@@ -8,21 +8,16 @@ from pyspark.sql import functions as F
 from occulink.functions.sequences import fasta_record, normalize_sequence
 
 
-def distinct_sequences(df: DataFrame, column: str = "dnasequence") -> DataFrame:
+def distinct_sequences(df: DataFrame, column: str = "dnasequence", partitions: int | None = None) -> DataFrame:
     """Normalised, distinct, non-empty input sequences (column ``seq``).
 
     The distinct is a partial + final hash aggregate: duplicates of a very
-    common sequence collapse map-side before the shuffle.
+    common sequence collapse map-side before the shuffle.  ``partitions`` deals
+    the raw rows out first, for inputs of few large splits.
     """
     c = F.col(column)
-    try:
-        wanted = df.sparkSession.sparkContext.defaultParallelism
-        few_splits = df.rdd.getNumPartitions() < wanted
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): keep the input layout
-        few_splits = False
-    if few_splits:
-        # few large input splits (e.g. one small file): spread the cleaning work
-        df = df.repartition(wanted)
+    if partitions:
+        df = df.repartition(partitions)
     return (
         df.where(c.isNotNull() & (F.length(c) > 0))
         .select(normalize_sequence(c).alias("seq"))
@@ -30,9 +25,9 @@ def distinct_sequences(df: DataFrame, column: str = "dnasequence") -> DataFrame:
     )
 
 
-def fasta(df: DataFrame, column: str = "dnasequence") -> DataFrame:
+def fasta(df: DataFrame, column: str = "dnasequence", partitions: int | None = None) -> DataFrame:
     """One string column ``f`` = ``>md5\\nsequence`` per distinct sequence."""
-    return distinct_sequences(df, column).select(fasta_record("seq").alias("f"))
+    return distinct_sequences(df, column, partitions).select(fasta_record("seq").alias("f"))
 
 
 def write_fasta(fasta_df: DataFrame, path: str) -> None:

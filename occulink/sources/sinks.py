@@ -19,19 +19,24 @@ def write_text(df: DataFrame, path: str, compression: str = "none") -> None:
 
 
 def drop_stage_tables(spark: SparkSession, prefix: str) -> None:
-    """Remove the stage tables of a previous run with this prefix."""
+    """Remove the stage tables of a previous run with this prefix, which may
+    name a database (``db.prefix``)."""
     for suffix in STAGE_SUFFIXES:
-        spark.sql(f"DROP TABLE IF EXISTS `{prefix}_{suffix}` PURGE")
+        name = ".".join(f"`{part}`" for part in f"{prefix}_{suffix}".split("."))
+        spark.sql(f"DROP TABLE IF EXISTS {name} PURGE")
 
 
 def replace_table(df: DataFrame, name: str) -> None:
     """Replace a served table's content as a whole (IO9).
 
-    An existing table keeps its definition and is overwritten in place;
-    otherwise it is created.
+    An existing table keeps its definition and is overwritten in place, columns
+    matched by name (another set of names is an error); otherwise it is created.
     """
     spark = df.sparkSession
     if spark.catalog.tableExists(name):
-        df.write.insertInto(name, overwrite=True)
+        columns = spark.table(name).columns
+        if sorted(columns) != sorted(df.columns):
+            raise ValueError(f"columns {df.columns} do not match those of {name}: {columns}")
+        df.select(*columns).write.insertInto(name, overwrite=True)
     else:
         df.write.format("parquet").mode("overwrite").saveAsTable(name)
