@@ -88,20 +88,22 @@ def _signed(h: int) -> int:
 
 
 def chunk_rows(numbered: DataFrame, rules: Rules) -> DataFrame:
-    """``row, at, begin, finish, hash`` of the chunks of all texts (blank ones have none)."""
+    """``doc_id, row, at, begin, finish, hash`` of the chunks of all texts (blank ones have none)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
-            for row, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            for i, (row, text) in enumerate(zip(b.column(0).to_pylist(), b.column(1), strict=True)):
                 for at, (s, e, body) in enumerate(chunks(text.as_py() or "", rules)):
                     if body:
-                        out.append((row, at, s, e, _signed(xxhash.xxh64_intdigest(body, 1))))
-            cols = list(zip(*out, strict=True)) or [()] * 5
+                        out.append((i, row, at, s, e, _signed(xxhash.xxh64_intdigest(body, 1))))
+            of, *cols = list(zip(*out, strict=True)) or [()] * 6
             types = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["row", "at", "begin", "finish", "hash"])
+            ids = b.column(2).take(pa.array(of, pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=["doc_id", "row", "at", "begin", "finish", "hash"])
 
-    return numbered.select("__row", "text").mapInArrow(cut, "row long, at int, begin int, finish int, hash long")
+    kinds = T._parse_datatype_string("row long, at int, begin int, finish int, hash long")
+    return numbered.select("__row", "text", "doc_id").mapInArrow(cut, T.StructType([numbered.schema["doc_id"], *kinds.fields]))
 
 
 def _edge(text: str, chunk: tuple[int, int, str] | None) -> tuple[str, list[int], list[int]]:
@@ -182,12 +184,11 @@ def remove_repeats(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """
     docs = docs.drop("__row", "__gone", "removed_chunks", "removed_chars")
     numbered = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "line-docs")
-    ids = numbered.select(F.col("__row").alias("row"), "doc_id")
-    # rows of a text lie together, so a chunk row needs its doc_id only to be the first
-    cut = stage(chunk_rows(numbered, rules).join(ids, "row", "left"), "line-chunks")
+    cut = stage(chunk_rows(numbered, rules), "line-chunks")
     again = (
         cut.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "row", "at")).alias("one")).where("n > 1").select("hash", F.col("one.row").alias("one_row"), F.col("one.at").alias("one_at"))
     )
+    again = stage(again, "line-repeats")  # as a table of its own, so that a hot chunk's join can be split
     repeated = cut.drop("doc_id").join(again, "hash").withColumn("first", (F.col("row") == F.col("one_row")) & (F.col("at") == F.col("one_at")))
     spans = repeated.groupBy(F.col("row").alias("__row")).agg(F.collect_list(F.struct("at", "begin", "finish", "hash", "first")).alias("spans"))  # one text's chunks
     bodies = stage(_bodies(numbered.select("__row", "text").join(spans, "__row"), rules), "line-bodies")
