@@ -8,7 +8,7 @@ space; such texts are one chunk each.  Equal chunks of a batch are encoded once.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +18,26 @@ import pyarrow.compute as pc
 CACHE_CHUNKS = 250_000
 
 
-def _crosses(piece: str) -> bool:
-    return not piece or piece[0].isspace() or piece[-1].isspace()
+#: Bytes of text that are split at a time, so that a worker's arrays stay small
+#: whatever the batch; a longer text is a part of its own.
+PART_BYTES = 4_000_000
+
+
+def parts(texts: pa.Array) -> Iterator[pa.Array]:
+    """Neighbouring texts of some ``PART_BYTES`` together."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(texts):
+        done = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, done + PART_BYTES, side="right")))
+        yield texts.slice(at, to - at)
+        at = to
+
+
+def _crossing(pieces: pa.Array) -> np.ndarray:
+    """Which pieces are empty or have white space at an end."""
+    bare = pc.utf8_trim_whitespace(pieces)
+    return pc.or_(pc.not_equal(bare, pieces), pc.equal(pieces, "")).to_numpy(zero_copy_only=False)
 
 
 def split_chunks(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -33,7 +51,7 @@ def split_chunks(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     starts = np.concatenate([[0], np.cumsum(lengths)])
     rows = np.repeat(np.arange(n), lengths)
     pieces = d.dictionary.to_pylist()
-    odd = np.fromiter(map(_crosses, pieces), bool, len(pieces))[codes]
+    odd = _crossing(d.dictionary)[codes]
     first = starts[:-1]
     lead = np.array([not pieces[c] for c in codes[first]], bool) if n else np.zeros(0, bool)
     odd[first[lead]] = False  # a leading space belongs to the second piece
@@ -62,8 +80,14 @@ class ChunkEncoder:
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the batch and where each text's ids start."""
-        chunks, codes, starts = split_chunks(pc.fill_null(texts, ""))
-        used = np.unique(codes)
+        made = [self._part(p) for p in parts(pc.fill_null(texts, ""))]
+        ends = np.cumsum([0, *(len(ids) for ids, _ in made)])
+        starts = [end + s[:-1] for end, (_, s) in zip(ends, made, strict=False)]
+        return np.concatenate([np.zeros(0, "<u4"), *(ids for ids, _ in made)]), np.concatenate([*starts, ends[-1:]])
+
+    def _part(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        chunks, codes, starts = split_chunks(texts)
+        used = np.flatnonzero(np.bincount(codes, minlength=len(chunks)))
         wanted = [chunks[c] for c in used]
         if len(self.cache) > CACHE_CHUNKS:
             self.cache.clear()
@@ -74,7 +98,9 @@ class ChunkEncoder:
         flat = np.frombuffer(b"".join(ids), "<u4")
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         begin = np.concatenate([[0], np.cumsum(size)])
-        at = np.searchsorted(used, codes)
+        place = np.zeros(len(chunks), np.int64)
+        place[used] = np.arange(len(used))
+        at = place[codes]
         lengths = size[at]
         ends = np.concatenate([[0], np.cumsum(lengths)])
         take = np.arange(ends[-1]) + np.repeat(begin[at] - ends[:-1], lengths)

@@ -15,9 +15,11 @@ that length; numbers are counted in hashed buckets and added up over them.
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from string import punctuation as PUNCTUATION
 
 import numpy as np
 import pyarrow as pa
@@ -26,13 +28,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from occulink.llm.chunks import ChunkEncoder
+from occulink.llm.chunks import CACHE_CHUNKS, ChunkEncoder
 from occulink.llm.common import ceil_div, stage
 from occulink.llm.words import text_column
 
 WINDOW, END_ID = 2048, 1
 #: Rows that one numbering bucket holds on average.
 BUCKET_ROWS = 20_000
+#: Chunks that the tokenizer gets as one text.
+TOGETHER = 2_000
 
 
 @lru_cache(maxsize=2)
@@ -45,10 +49,52 @@ def encoder(path: str) -> ChunkEncoder:
     t = Tokenizer.from_file(path)
     t.encode_special_tokens = True  # their strings in a text are ordinary text
 
+    # ByteLevel writes a byte as one character, so a token's length is its bytes
+    size = np.zeros(t.get_vocab_size(), np.int64)
+    for token, i in t.get_vocab(with_added_tokens=False).items():
+        size[i] = len(token)
+
+    model, known = t.model, {}
+
+    def match(written: str) -> bytes:
+        """Ids of one match of the word pattern, its bytes written as characters."""
+        if (ids := known.get(written)) is None:
+            found = [x.id for x in model.tokenize(written)]
+            ids = known[written] = struct.pack(f"<{len(found)}I", *found)
+        return ids
+
+    def alone(chunk: str) -> bytes:
+        return np.array(t.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+
     def encode(chunks: list[str]) -> list[bytes]:
-        out = []
-        for at in range(0, len(chunks), 20_000):
-            out += [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch_fast(chunks[at : at + 20_000], add_special_tokens=False)]
+        """A space, ASCII letters and then punctuation are two matches, whose ids
+        the model gives.  Other chunks led by one space stay apart when they
+        follow one another, so many are encoded as one text and cut where their
+        bytes end."""
+        out = [b""] * len(chunks)
+        run = []
+        if len(known) > CACHE_CHUNKS:
+            known.clear()
+        for i, c in enumerate(chunks):
+            core = c[1:].rstrip(PUNCTUATION)
+            if c[:1] == " " and core.isascii() and core.isalpha():
+                out[i] = match("Ġ" + core) + (match(c[len(core) + 1 :]) if len(core) + 1 < len(c) else b"")
+            elif len(c) > 1 and c[0] == " " and not c[1].isspace() and not c[-1].isspace():
+                run.append(i)
+            else:
+                out[i] = alone(c)
+        for at in range(0, len(run), TOGETHER):
+            some = run[at : at + TOGETHER]
+            ids = np.array(t.encode_batch_fast(["".join([chunks[i] for i in some])], add_special_tokens=False)[0].ids, "<u4")
+            bytes_to = np.cumsum([len(chunks[i].encode()) for i in some])
+            reached = np.cumsum(size[ids])
+            ends = np.searchsorted(reached, bytes_to) + 1
+            if not np.array_equal(reached[ends - 1], bytes_to):
+                raise AssertionError("a token crosses two chunks")
+            raw, begin = ids.tobytes(), 0
+            for i, end in zip(some, (4 * ends).tolist(), strict=True):
+                out[i] = raw[begin:end]
+                begin = end
         return out
 
     return ChunkEncoder(encode)

@@ -138,14 +138,14 @@ def splitters(rows: DataFrame, shards: int, tolerance: float = 0.002) -> list[Sp
     return sorted((Splitter(key, cut.get(i, SIGN)) for i, (key, _) in at.items()), key=lambda s: (s.text_key, s.doc_key))
 
 
-def _shard_of(points: list[Splitter]) -> Column:
-    """The number of splitters at or below a row's key."""
-    t, d = F.col("text_key"), F.col("doc_key")
-    terms = [((t > s.text_key) | ((t == s.text_key) & (d >= s.doc_key))).cast("int") for s in points]
-    out = F.lit(0)
-    for x in terms:
-        out = out + x
-    return out
+def _shard_of(points: list[Splitter], first: int = 0) -> Column:
+    """The number of splitters at or below a row's key, found by halving."""
+    if not points:
+        return F.lit(first)
+    half = len(points) // 2
+    s, t, d = points[half], F.col("text_key"), F.col("doc_key")
+    above = (t > s.text_key) | ((t == s.text_key) & (d >= s.doc_key))
+    return F.when(above, _shard_of(points[half + 1 :], first + half + 1)).otherwise(_shard_of(points[:half], first))
 
 
 def histogram_sort_shards(docs: DataFrame, shards: int = 40, tolerance: float = 0.002) -> DataFrame:
