@@ -37,6 +37,23 @@ WINDOW, END_ID = 2048, 1
 BUCKET_ROWS = 20_000
 #: Chunks that the tokenizer gets as one text.
 TOGETHER = 2_000
+#: Below it (Latin, Greek, Cyrillic) Python and the tokenizer agree on what a letter is.
+BEYOND = "\u0530"
+
+
+def _byte_characters() -> dict[int, int]:
+    """The characters by which ByteLevel vocabularies write bytes: printable ones
+    stand for themselves, the others follow from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b for b in shown} | {b: 256 + i for i, b in enumerate(hidden)}
+
+
+BYTE_CHARACTERS = _byte_characters()
+
+
+def _written(word: str) -> str:
+    return word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_CHARACTERS)
 
 
 @lru_cache(maxsize=2)
@@ -67,7 +84,7 @@ def encoder(path: str) -> ChunkEncoder:
         return np.array(t.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(chunks: list[str]) -> list[bytes]:
-        """A space, ASCII letters and then punctuation are two matches, whose ids
+        """A space, letters and then ASCII punctuation are two matches, whose ids
         the model gives.  Other chunks led by one space stay apart when they
         follow one another, so many are encoded as one text and cut where their
         bytes end."""
@@ -77,8 +94,8 @@ def encoder(path: str) -> ChunkEncoder:
             known.clear()
         for i, c in enumerate(chunks):
             core = c[1:].rstrip(PUNCTUATION)
-            if c[:1] == " " and core.isascii() and core.isalpha():
-                out[i] = match("Ġ" + core) + (match(c[len(core) + 1 :]) if len(core) + 1 < len(c) else b"")
+            if c[:1] == " " and core.isalpha() and (core.isascii() or max(core) < BEYOND):
+                out[i] = match("Ġ" + _written(core)) + (match(c[len(core) + 1 :]) if len(core) + 1 < len(c) else b"")
             elif len(c) > 1 and c[0] == " " and not c[1].isspace() and not c[-1].isspace():
                 run.append(i)
             else:
