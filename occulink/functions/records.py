@@ -75,17 +75,26 @@ def list_column(df: DataFrame, name: str) -> Column:
     raise TypeError(f"column {name!r} must be array<string> or struct<concepts: array>, got {dtype}")
 
 
+def is_json(text: Column) -> Column:
+    """Whether a text is exactly one JSON value: only then is it both an array's
+    sole element and an object's sole value.  False for NULL."""
+    element = F.get_json_object(F.concat(F.lit("["), text, F.lit("]")), "$")
+    value = F.get_json_object(F.concat(F.lit('{"v":'), text, F.lit("}")), "$")
+    return element.isNotNull() & value.isNotNull()
+
+
 @memoized
 def record_json(prefix: str = "", json_fields: tuple[str, ...] = ("media",)) -> Column:
     """JSON object of one record's columns, NULLs kept.
 
-    Columns named in ``json_fields`` hold JSON text and are embedded as JSON,
-    not as an escaped string.  Invalid JSON there becomes ``null``.
+    Columns named in ``json_fields`` hold JSON text and follow the others, their
+    text spliced in unchanged (repeated keys and the spelling of numbers stay).
+    Text that is not one JSON value becomes ``null``.
     """
-    fields = []
-    for name in RECORD_COLUMNS:
-        c = F.col(f"{prefix}{name}")
-        if name in json_fields:
-            c = F.try_parse_json(c)
-        fields.append(c.alias(name))
-    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
+    plain = [F.col(f"{prefix}{name}").alias(name) for name in RECORD_COLUMNS if name not in json_fields]
+    head = F.to_json(F.struct(*plain), {"ignoreNullFields": "false"})
+    parts = [head.substr(F.lit(1), F.length(head) - 1)]
+    for name in (n for n in RECORD_COLUMNS if n in json_fields):
+        text = F.col(f"{prefix}{name}")
+        parts += [F.lit(f',"{name}":'), F.when(is_json(text), text).otherwise("null")]
+    return F.concat(*parts, F.lit("}"))

@@ -64,7 +64,7 @@ def run_linkage(source: DataFrame, cfg: LinkageConfig = LinkageConfig()) -> Link
         relate.relationships(recs, pairs, strict_days=cfg.strict_days, with_json=cfg.with_json),
         "relationships",
     )
-    return LinkageResult(recs, hashes, filtered, pairs, rel, export.export_cells(rel, cfg.buckets))
+    return LinkageResult(recs, hashes, filtered, pairs, rel, export.export_cells(rel, cfg.buckets, cfg.with_json))
 
 
 def publish(result: LinkageResult, cells_path: str | None = None, table: str | None = None) -> None:

@@ -440,5 +440,6 @@ ORACLE_SQL: dict[str, str] = {
     + "SELECT salt, row_key, qualifier, value FROM cells",
     "lookup_related": _with(RECORDS_CTE, _hashes_cte(ALL_FAMILIES), PAIRS_CTE, FEATURES_CTE, FACTS_CTE, REL_CTE)
     + "SELECT c.salt, c.row_key, c.qualifier, c.value FROM cells c "
-    "WHERE c.row_key IN (SELECT row_key FROM cells WHERE qualifier = 'id1' AND value IN (SELECT gbifId FROM rec))",
+    "WHERE c.row_key IN (SELECT row_key FROM cells WHERE qualifier = 'id1' AND value IN "
+    "(SELECT CAST(l_orderkey AS VARCHAR) FROM lineitem WHERE l_returnflag = 'R'))",
 }

@@ -195,13 +195,15 @@ def q_relationship_json(spark, data_dir):
 
 
 def q_export_cells(spark, data_dir):
-    return export.export_cells(_relationships(spark, data_dir, with_json=False), BUCKETS)
+    return export.export_cells(_relationships(spark, data_dir, with_json=False), BUCKETS, with_json=False)
 
 
 def q_lookup_related(spark, data_dir):
-    """Batch lookup of the related records of every record, through the salted layout."""
-    cells = export.export_cells(_relationships(spark, data_dir, with_json=False), BUCKETS)
-    ids = records(spark, data_dir).select(F.col("gbifId").alias("id"))
+    """Batch lookup, through the salted layout, of what is related to the records
+    whose order had a returned line item."""
+    cells = export.export_cells(_relationships(spark, data_dir, with_json=False), BUCKETS, with_json=False)
+    returned = spark.read.parquet(f"{data_dir}/lineitem.parquet").where(F.col("l_returnflag") == "R")
+    ids = returned.select(F.col("l_orderkey").cast("string").alias("id"))
     return export.related_records(cells, ids, BUCKETS)
 
 
