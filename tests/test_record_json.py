@@ -1,4 +1,4 @@
-"""Record JSON: JSON text is spliced in unchanged."""
+"""Record JSON (JSON text is spliced in unchanged) and columns that cells need."""
 
 import json
 
