@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from occulink.llm.classifiers import keep_clean, keep_good
 from occulink.llm.common import stage, table
 from occulink.llm.jaccard import one_of_each_group
-from occulink.llm.linedup import remove_repeats
+from occulink.llm.linedup import EVERY, remove_repeats
 from occulink.llm.packing import pack
 
 
@@ -30,7 +30,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents without repeated passages; ``n_chars`` follows the text of
     those that lost one."""
-    cut = remove_repeats(docs)
+    cut = remove_repeats(docs, EVERY)
     if "n_chars" in docs.columns:
         size = F.when(F.col("removed_chunks") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
         cut = cut.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType))

@@ -9,6 +9,12 @@ compared byte by byte with its first occurrence.  Neighbouring chunks that are
 equal to first ones make up a run, and runs of enough words are removed: a short
 line that is common by itself stays, the same line inside a passage goes.  Where
 a passage begins or ends inside a chunk, its lines there are compared one by one.
+
+A short passage need not hold a whole chunk.  So (``EVERY``) the shortest runs of lines with
+enough words, from each line on and up to each line, are counted and compared in
+the same way.  Any passage of whole lines with enough words holds the run from
+its first line on and the one up to its last, and such runs make it up: it is
+found whatever stands around it.
 """
 
 from __future__ import annotations
@@ -27,15 +33,22 @@ from occulink.llm.common import stage
 
 LINE_END = re.compile(r"\n+|(?<=[.!?…])[ \t]+")
 BASE, MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
+SHORT = 1 << 30  # added to a shortest run's first line, which sets ``at`` apart from that of chunks
 
 
 @dataclass(frozen=True)
 class Rules:
-    """``least_words``: words of a run of repeated chunks that is removed."""
+    """``least_words``: words of a run of repeated chunks or lines that is removed;
+    ``short_runs``: besides chunks, compare the shortest runs of lines."""
 
     window: int = 2
     divisor: int = 2
     least_words: int = 16
+    short_runs: bool = False
+
+
+#: As the queries use them: every repeated passage of whole lines is found.
+EVERY = Rules(short_runs=True)
 
 
 def lines(text: str) -> Iterator[tuple[int, int]]:
@@ -70,6 +83,55 @@ def chunks(text: str, rules: Rules = Rules()) -> Iterator[tuple[int, int, str]]:
         yield start, end, "\n".join(bodies)
 
 
+def shortest_runs(text: str, rules: Rules = Rules()) -> list[tuple[int, int, int, str]]:
+    """``(first line, start, end, content)`` of the shortest runs of lines, blank
+    ones not counted, that have enough words: from each line on, and up to each."""
+    spans = [(s, e, body) for s, e in lines(text) if (body := text[s:e].strip())]
+    counts = [len(body.split()) for _, _, body in spans]
+    found, first, last, words = set(), 0, 0, 0
+    for first in range(len(counts)):
+        while words < rules.least_words and last < len(counts):
+            words, last = words + counts[last], last + 1
+        if words < rules.least_words:
+            break
+        found.add((first, last))
+        words -= counts[first]
+    first = words = 0
+    for last, n in enumerate(counts, 1):
+        words += n
+        while words - counts[first] >= rules.least_words:
+            words, first = words - counts[first], first + 1
+        if words >= rules.least_words:
+            found.add((first, last))
+    return [(a, spans[a][0], spans[b - 1][1], "\n".join(x[2] for x in spans[a:b])) for a, b in sorted(found)]
+
+
+def cover(spans: list[dict]) -> list[dict]:
+    """Few of the spans (``begin``, ``finish``) that cover what all of them do."""
+    out, best, end = [], None, -1
+    for x in sorted(spans, key=lambda x: (x["begin"], -x["finish"])):
+        if best and x["begin"] > end:
+            out.append(best)
+            best, end = None, best["finish"]
+        if x["begin"] > end:
+            out.append(x)
+            end = x["finish"]
+        elif x["finish"] > (best or {"finish": end})["finish"]:
+            best = x
+    return [*out, best] if best else out
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans, with those that meet made one."""
+    out: list[tuple[int, int]] = []
+    for begin, finish in sorted(spans):
+        if out and begin <= out[-1][1]:
+            out[-1] = (out[-1][0], max(finish, out[-1][1]))
+        else:
+            out.append((begin, finish))
+    return out
+
+
 def holes(repeats: list[tuple[int, int, int, int]], rules: Rules = Rules()) -> list[tuple[int, int]]:
     """Spans to remove from a text with the repeated chunks ``(at, begin, finish,
     words)``, ascending: each run of neighbours that has enough words."""
@@ -88,15 +150,18 @@ def _signed(h: int) -> int:
 
 
 def chunk_rows(numbered: DataFrame, rules: Rules) -> DataFrame:
-    """``doc_id, row, at, begin, finish, hash`` of the chunks of all texts (blank ones have none)."""
+    """``doc_id, row, at, begin, finish, hash`` of the chunks and shortest runs of all texts (blank ones have none)."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
             for i, (row, text) in enumerate(zip(b.column(0).to_pylist(), b.column(1), strict=True)):
-                for at, (s, e, body) in enumerate(chunks(text.as_py() or "", rules)):
+                t = text.as_py() or ""
+                for at, (s, e, body) in enumerate(chunks(t, rules)):
                     if body:
                         out.append((i, row, at, s, e, _signed(xxhash.xxh64_intdigest(body, 1))))
+                for at, s, e, body in shortest_runs(t, rules) if rules.short_runs else ():
+                    out.append((i, row, SHORT + at, s, e, _signed(xxhash.xxh64_intdigest(body, 2))))
             of, *cols = list(zip(*out, strict=True)) or [()] * 6
             types = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
             ids = b.column(2).take(pa.array(of, pa.int64()))
@@ -122,15 +187,23 @@ BODIES = pa.schema(
 
 def _bodies(with_spans: DataFrame, rules: Rules) -> DataFrame:
     """The repeated chunks with their contents and those of their neighbours; a
-    neighbour that is repeated itself matters for first occurrences only."""
+    neighbour that is repeated itself matters for first occurrences only.  Of the
+    shortest runs, all first occurrences and enough others to cover the rest."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for row, text, spans in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
                 t = text.as_py()
-                every, found, out = list(chunks(t, rules)), {x["at"] for x in spans.as_py()}, []
-                for x in spans.as_py():
+                every, spans = list(chunks(t, rules)), spans.as_py()
+                found, out = {x["at"] for x in spans}, []
+                short = [x for x in spans if x["at"] >= SHORT]
+                for x in [x for x in short if x["first"]] + cover([x for x in short if not x["first"]]):
+                    bodies = (t[x["begin"] + s : x["begin"] + e].strip() for s, e in lines(t[x["begin"] : x["finish"]]))
+                    out.append((row, x["at"], x["begin"], x["finish"], x["hash"], x["first"], "\n".join(b for b in bodies if b), "", [], "", []))
+                for x in spans:
                     at, first = x["at"], x["first"]
+                    if at >= SHORT:
+                        continue
                     before, begins, _ = _edge(t, every[at - 1] if at and (first or at - 1 not in found) else None)
                     after, _, ends = _edge(t, every[at + 1] if at + 1 < len(every) and (first or at + 1 not in found) else None)
                     out.append((row, at, x["begin"], x["finish"], x["hash"], first, every[at][2], before, begins, after, ends))
@@ -148,8 +221,8 @@ def _same(one: list[str], two: list[str]) -> int:
 
 
 def _equal_spans(met: DataFrame) -> DataFrame:
-    """``row, at, begin, finish, words`` of the chunks that equal their first
-    occurrence, drawn out over the neighbouring lines that equal its lines too."""
+    """``row, at, begin, finish, words`` of the chunks and shortest runs that equal
+    their first occurrence, chunks drawn out over the neighbouring lines that equal its lines too."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -174,11 +247,12 @@ def _equal_spans(met: DataFrame) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """``docs`` with shortened ``text`` and, after its columns,
-    ``removed_chunks int`` (runs of repeated chunks) and ``removed_chars long``.
+    ``removed_chunks int`` (passages taken out) and ``removed_chars long``.
 
     Of equal chunks the one of the least ``doc_id`` stays (then of the earlier
     row, then the earlier place; a null id comes first), also among repeats
-    inside a document.  Every row is returned: null texts stay null, empty ones
+    inside a document (a shortest run that overlaps its first occurrence is no
+    repeat).  Every row is returned: null texts stay null, empty ones
     empty, and a text of which all is repeated becomes empty.  Repeated rows are
     documents of their own, and any further columns are passed on.
     """
@@ -186,10 +260,11 @@ def remove_repeats(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     numbered = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "line-docs")
     cut = stage(chunk_rows(numbered, rules), "line-chunks")
     again = (
-        cut.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "row", "at")).alias("one")).where("n > 1").select("hash", F.col("one.row").alias("one_row"), F.col("one.at").alias("one_at"))
+        cut.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "row", "at", "finish")).alias("one")).where("n > 1").select("hash", *(F.col(f"one.{k}").alias(f"one_{k}") for k in ("row", "at", "finish")))
     )
     again = stage(again, "line-repeats")  # as a table of its own, so that a hot chunk's join can be split
     repeated = cut.drop("doc_id").join(again, "hash").withColumn("first", (F.col("row") == F.col("one_row")) & (F.col("at") == F.col("one_at")))
+    repeated = repeated.where(F.col("first") | (F.col("row") != F.col("one_row")) | (F.col("begin") >= F.col("one_finish")))
     spans = repeated.groupBy(F.col("row").alias("__row")).agg(F.collect_list(F.struct("at", "begin", "finish", "hash", "first")).alias("spans"))  # one text's chunks
     bodies = stage(_bodies(numbered.select("__row", "text").join(spans, "__row"), rules), "line-bodies")
     first = bodies.where("first").select("hash", *(F.col(k).alias(f"one_{k}") for k in ("body", "before", "after")))
@@ -203,7 +278,8 @@ def remove_repeats(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         for b in batches:
             texts, counts, chars = [], [], []
             for text, spans in zip(b.column(names.index("text")), b.column(len(names)), strict=True):
-                t, cuts = text.as_py(), holes([tuple(x.values()) for x in spans.as_py() or []], rules)
+                t, found = text.as_py(), [tuple(x.values()) for x in spans.as_py() or []]
+                cuts = merged(holes([x for x in found if x[0] < SHORT], rules) + [x[1:3] for x in found if x[0] >= SHORT])
                 if cuts:
                     at, kept = 0, []
                     for begin, finish in cuts:

@@ -30,9 +30,9 @@ def op2_bayesian_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_content_defined_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from occulink.llm.linedup import remove_repeats
+    from occulink.llm.linedup import EVERY, remove_repeats
 
-    return remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "removed_chunks", "removed_chars", "text")
+    return remove_repeats(table(spark, sf_dir, "documents"), EVERY).select("doc_id", "removed_chunks", "removed_chars", "text")
 
 
 def op4_va_file_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
