@@ -348,6 +348,28 @@ cells AS (
 )"""
 
 
+def _json_field(c: str) -> str:
+    if c in ("decimalLatitude", "decimalLongitude"):  # the JVM writes 0.0007 as 7.0E-4
+        text = f"CAST({c} AS VARCHAR)"
+        small = f"regexp_extract({text}, '^0[.]000([1-9])', 1) || '.' || COALESCE(NULLIF(substr({text}, 7), ''), '0') || 'E-4'"
+        return f"CASE WHEN regexp_matches({text}, '^0[.]000[1-9]') THEN {small} ELSE COALESCE({text}, 'null') END"
+    if c == "media":  # JSON text itself
+        return "CASE WHEN json_valid(media) THEN media ELSE 'null' END"
+    return f"COALESCE(CAST(to_json({c}) AS VARCHAR), 'null')"
+
+
+RECORD_CELLS_CTE = f"""
+docs AS (
+  SELECT gbifId, '{{' || {" || ',' || ".join(f"{_lit(chr(34) + c + chr(34) + ':')} || {_json_field(c)}" for c in RECORD_COLUMNS)} || '}}' AS doc FROM rec
+),
+all_cells AS (
+  SELECT salt, row_key, qualifier, value FROM cells
+  UNION ALL
+  SELECT c.salt, c.row_key, 'occurrence' || right(c.qualifier, 1), docs.doc
+  FROM cells c JOIN docs ON docs.gbifId = c.value WHERE c.qualifier IN ('id1', 'id2')
+)"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
 
@@ -442,4 +464,10 @@ ORACLE_SQL: dict[str, str] = {
     + "SELECT c.salt, c.row_key, c.qualifier, c.value FROM cells c "
     "WHERE c.row_key IN (SELECT row_key FROM cells WHERE qualifier = 'id1' AND value IN "
     "(SELECT CAST(l_orderkey AS VARCHAR) FROM lineitem WHERE l_returnflag = 'R'))",
+    "export_cells_records": _with(RECORDS_CTE, _hashes_cte(ALL_FAMILIES), PAIRS_CTE, FEATURES_CTE, FACTS_CTE, REL_CTE, RECORD_CELLS_CTE)
+    + "SELECT salt, row_key, qualifier, value FROM all_cells",
+    "lookup_related_records": _with(RECORDS_CTE, _hashes_cte(ALL_FAMILIES), PAIRS_CTE, FEATURES_CTE, FACTS_CTE, REL_CTE, RECORD_CELLS_CTE)
+    + "SELECT c.salt, c.row_key, c.qualifier, c.value FROM all_cells c "
+    "WHERE c.row_key IN (SELECT row_key FROM cells WHERE qualifier = 'id1' AND value IN "
+    "(SELECT CAST(l_orderkey AS VARCHAR) FROM lineitem WHERE l_returnflag = 'R'))",
 }

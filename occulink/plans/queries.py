@@ -207,6 +207,19 @@ def q_lookup_related(spark, data_dir):
     return export.related_records(cells, ids, BUCKETS)
 
 
+def q_export_cells_records(spark, data_dir):
+    """``export_cells`` over all seven qualifiers, both records among them."""
+    return export.export_cells(_relationships(spark, data_dir, with_json=True), BUCKETS)
+
+
+def q_lookup_related_records(spark, data_dir):
+    """``lookup_related`` over all seven qualifiers."""
+    cells = export.export_cells(_relationships(spark, data_dir, with_json=True), BUCKETS)
+    returned = spark.read.parquet(f"{data_dir}/lineitem.parquet").where(F.col("l_returnflag") == "R")
+    ids = returned.select(F.col("l_orderkey").cast("string").alias("id"))
+    return export.related_records(cells, ids, BUCKETS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fasta_distinct": q_fasta_distinct,
     "input_projection": q_input_projection,
@@ -233,6 +246,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "relationship_json": q_relationship_json,
     "export_cells": q_export_cells,
     "lookup_related": q_lookup_related,
+    "export_cells_records": q_export_cells_records,
+    "lookup_related_records": q_lookup_related_records,
 }
 
 # columns of a full record, as written by ``pair_records``
