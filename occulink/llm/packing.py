@@ -5,8 +5,8 @@ A document of ``n`` ids fills ``n // window`` windows alone; its tail of
 (at most ``window - 1`` counts) is all that the driver sees.  It enumerates the
 pairs and triples of lengths that fill a window exactly, solves for how often to
 repeat each so that the histogram is met in the least-squares sense with no
-negative count, rounds down, and uses up what exact combinations the rounding
-left.  The residual tails are packed greedily, longest first: they are laid end
+negative count, rounds by largest remainders, and uses up what exact combinations
+the rounding left.  The residual tails are packed greedily, longest first: they are laid end
 to end and cut where a window ends, so that only the last window has padding.
 
 Which tail of a length goes where follows from its number among the tails of
@@ -166,13 +166,15 @@ def solve(combos: np.ndarray, histogram: np.ndarray, rounds: int = 150) -> np.nd
 class Plan:
     """``tails[i] = (length, first number, sequence, offset)``, ordered: the tail
     of that length with number ``first + j`` goes to ``sequence + j``.  From
-    ``rest_from[length]`` on, tails lie end to end from ``rest_at[length]``."""
+    ``rest_from[length]`` on, tails lie end to end from ``rest_at[length]``.  The
+    first ``solved`` of the ``sequences`` come from the least-squares solution."""
 
     window: int
     tails: np.ndarray
     sequences: int
     rest_from: np.ndarray
     rest_at: np.ndarray
+    solved: int = 0
 
 
 def plan(histogram: np.ndarray, window: int = WINDOW) -> Plan:
@@ -180,7 +182,7 @@ def plan(histogram: np.ndarray, window: int = WINDOW) -> Plan:
     left = histogram.astype(np.int64).copy()
     left[0] = 0
     used = np.zeros_like(left)
-    tails, sequences = [], 0
+    tails, sequences, solved = [], 0, 0
 
     def place(combo: np.ndarray, times: int) -> None:
         nonlocal sequences
@@ -201,11 +203,19 @@ def plan(histogram: np.ndarray, window: int = WINDOW) -> Plan:
     lengths = np.nonzero(left)[0]
     combos = combinations(lengths, window) if len(lengths) else np.zeros((0, 3), np.int64)
     if len(combos):
-        x = np.floor(solve(combos, histogram)).astype(np.int64)
+        exact = solve(combos, histogram)
+        x = np.floor(exact).astype(np.int64)
         order = np.argsort(-x, kind="stable")
         for i in order[x[order] > 0]:
             if times := min(int(x[i]), most(combos[i])):
                 place(combos[i], times)
+        wanted = round(exact.sum())
+        for i in np.argsort(x - exact, kind="stable"):  # largest remainder first
+            if sequences >= wanted:
+                break
+            if exact[i] > x[i] and most(combos[i]):
+                place(combos[i], 1)
+        solved = sequences
         for i in np.nonzero((left[combos[:, 0]] > 0) & (left[combos[:, 1]] > 0))[0]:
             if times := most(combos[i]):
                 place(combos[i], times)
@@ -213,7 +223,7 @@ def plan(histogram: np.ndarray, window: int = WINDOW) -> Plan:
     down = np.arange(len(left))[::-1]
     at[down] = np.cumsum((left * np.arange(len(left)))[down]) - (left * np.arange(len(left)))[down]
     table = np.array(sorted(tails), np.int64).reshape(-1, 4)
-    return Plan(window, table, sequences, used, at)
+    return Plan(window, table, sequences, used, at, solved)
 
 
 def cut(p: Plan, n: np.ndarray, full_before: np.ndarray, number: np.ndarray, fulls: int) -> list[list[tuple[int, int, int, int]]]:
