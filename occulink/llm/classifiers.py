@@ -54,5 +54,9 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with a toxicity score below the threshold."""
-    return fm.with_score(docs, toxicity_model(docs, labels), "__score").where(F.col("__score") < THRESHOLD).drop("__score")
+    """The rows of ``docs`` with a toxicity score below the threshold; all of them
+    without a labelled document to learn from."""
+    model = toxicity_model(docs, labels)
+    if not model.rows:
+        return docs
+    return fm.with_score(docs, model, "__score").where(F.col("__score") < THRESHOLD).drop("__score")

@@ -61,6 +61,7 @@ class Model:
     bias: float = 0.0
     weights: np.ndarray = field(default_factory=lambda: np.zeros(0))
     factors: np.ndarray = field(default_factory=lambda: np.zeros((0, 1)))
+    rows: int = 0  # labelled documents that it learned from
 
 
 def term_hashes(w: Words) -> np.ndarray:
@@ -184,7 +185,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, settings:
     document the model gives every text 0.5; with one label only, a constant."""
     sample = _sample(docs, labels, label, learn, settings)
     m, stats, y = Model(settings), sample.stats, sample.y
-    if not len(y):
+    m.rows = len(y)
+    if not m.rows:
         return m
     m.hashes, m.scale = _select(sample, settings)
     if settings.statistics:
