@@ -56,8 +56,11 @@ def run_linkage(source: DataFrame, cfg: LinkageConfig = LinkageConfig()) -> Link
     recs = source if cfg.checklist_key is None else features.input_projection(source, cfg.checklist_key)
     recs = stage(features.partition_by_record(recs, cfg.partitions), "input")
     hashes = stage(blocking.record_hashes(recs), "hashes")
-    filtered = blocking.filter_hashes(
-        hashes, cfg.max_group_size, method=cfg.filter_method, stop_list_size=cfg.stop_list_size
+    filtered = stage(
+        blocking.filter_hashes(
+            hashes, cfg.max_group_size, method=cfg.filter_method, stop_list_size=cfg.stop_list_size
+        ),
+        "hashes_filtered",
     )
     pairs = stage(blocking.candidate_pairs(filtered), "candidates")
     rel = stage(
