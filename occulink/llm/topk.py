@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from occulink.llm.common import stage
 from occulink.llm.vectors import code_blocks, query_blocks, rerank, scan, usable
 
-#: Scaled components are held to +-LIMIT, so that 64-bit scores cannot overflow
-#: below 2**7 dimensions; components of embeddings stay far below it.
-SCALE, LIMIT, CELLS = 1024, 1 << 28, 64
+#: With scaled components of +-LIMIT at most and below DIMENSIONS, 64-bit scores
+#: cannot overflow; other products are added up as decimals.
+SCALE, LIMIT, DIMENSIONS, CELLS = 1024, 1 << 24, 1 << 15, 64
+#: 2**63 as a double: scaled components and scores are 64-bit numbers.
+BEYOND = float(1 << 63)
 
 
 def quantise(x: np.ndarray) -> dict[str, np.ndarray]:
@@ -49,7 +51,21 @@ def cell_bounds(block: dict, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _product(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0).cast("long"), lambda s, x: s + x)
+    large = lambda x: (x > LIMIT) | (x < -LIMIT)
+    plain = F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0).cast("long"), lambda s, x: s + x)
+    wide = F.zip_with(a, b, lambda x, y: (x.cast("decimal(20,0)") * y.cast("decimal(20,0)")).cast("decimal(38,0)"))
+    exact = F.aggregate(wide, F.lit(0).cast("decimal(38,0)"), lambda s, x: (s + x).cast("decimal(38,0)"))
+    fits = exact.between(F.lit(-(1 << 63)).cast("decimal(38,0)"), F.lit((1 << 63) - 1).cast("decimal(38,0)"))
+    checked = F.when(fits, exact.cast("long")).otherwise(F.raise_error(F.lit("a score does not fit into 64 bits")).cast("long"))
+    return F.when((F.size(a) >= DIMENSIONS) | F.exists(a, large) | F.exists(b, large), checked).otherwise(plain)
+
+
+def _scaled(v: Column) -> Column:
+    def one(x: Column) -> Column:
+        y = x.cast("double") * SCALE
+        return F.when(F.abs(y) < BEYOND, F.floor(y).cast("long")).otherwise(F.raise_error(F.lit("a component times 1024 does not fit into 64 bits")).cast("long"))
+
+    return F.transform(v, one)
 
 
 def top_k(embeddings: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
@@ -58,14 +74,15 @@ def top_k(embeddings: DataFrame, is_query: Column, k: int = 10, id_col: str = "v
 
     Ties go to the smaller id.  Null vectors, empty ones and those that hold
     nulls or non-finite numbers take no part; a query meets vectors of its own
-    dimension.  Rows repeated under one id are rows of their own.  Fewer than
+    dimension.  Scores are exact as long as they and ``floor(1024 * x)`` fit into
+    64 bits; a component, or a score that has to be read, outside of that raises
+    an error.  Rows repeated under one id are rows of their own.  Fewer than
     ``k`` candidates are all returned; an empty table gives no rows.
     """
     v = F.col(vec_col)
-    scaled = F.transform(v, lambda x: F.greatest(F.least(F.floor(x.cast("double") * SCALE).cast("double"), F.lit(float(LIMIT))), F.lit(float(-LIMIT))).cast("long"))
     vectors = stage(
         embeddings.where(usable(v) & F.col(id_col).isNotNull()).select(
-            F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("vec_id"), F.size(v).alias("dim"), scaled.alias("exact"), F.coalesce(is_query, F.lit(False)).alias("is_query")
+            F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("vec_id"), F.size(v).alias("dim"), _scaled(v).alias("exact"), F.coalesce(is_query, F.lit(False)).alias("is_query")
         ),
         "vectors",
     )
