@@ -37,13 +37,20 @@ STATS = (
 @dataclass(frozen=True)
 class Settings:
     """``sample_rows``: the most labelled rows a fit looks at (those with the
-    least hash of their id); ``terms``: the most hashed terms it selects."""
+    least hash of their id); ``terms``: the most hashed terms it selects for
+    separating the labels alone.  Of the ``pair_candidates`` most frequent other
+    terms it adds at most ``pair_terms`` that do so in pairs, each pair in
+    ``least_pair_docs`` documents or more."""
 
     statistics: bool = True
     sample_rows: int = 30_000
     terms: int = 1_024
     least_docs: int = 4
     least_z: float = 4.0
+    pair_candidates: int = 2_048
+    pair_terms: int = 256
+    least_pair_docs: int = 16
+    least_pair_z: float = 6.0
     bins: int = 12
     rank: int = 8
     epochs: int = 25
@@ -133,9 +140,42 @@ def _sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, s: Se
     return Sample(np.frombuffer(b"".join(raw), np.uint32), np.repeat(np.arange(len(raw)), [len(x) // 4 for x in raw]), stats, y)
 
 
+def _difference(pos: np.ndarray, both: np.ndarray, n1: float, n0: float) -> np.ndarray:
+    """Standardised difference of the document shares ``pos / n1`` and
+    ``(both - pos) / n0`` between the labels."""
+    pool = both / (n1 + n0)
+    return (pos / n1 - (both - pos) / n0) / np.sqrt(np.maximum(pool * (1 - pool), 1e-9) * (1 / n1 + 1 / n0))
+
+
+def _paired(sample: Sample, code: np.ndarray, some: np.ndarray, n1: float, n0: float, s: Settings) -> np.ndarray:
+    """Those of the terms ``some`` that are in the pairs whose document share
+    differs most between the labels."""
+    slot = np.full(code.max() + 1, -1)
+    slot[some] = np.arange(len(some))
+    found = slot[code]
+    of, at = sample.of[found >= 0], found[found >= 0]
+    both, pos = np.zeros((2, len(some), len(some)), np.float32)
+    for first in range(0, len(sample.y), 4096):
+        a, z = np.searchsorted(of, [first, first + 4096])
+        y = sample.y[first : first + 4096]
+        x = np.zeros((len(y), len(some)), np.float32)
+        x[of[a:z] - first, at[a:z]] = 1
+        both += x.T @ x
+        x = x[y > 0]
+        pos += x.T @ x
+    i, j = np.nonzero(np.triu(both >= s.least_pair_docs, 1))
+    z = np.abs(_difference(pos[i, j].astype(float), both[i, j].astype(float), n1, n0))
+    order = np.argsort(-z, kind="stable")
+    order = order[z[order] >= s.least_pair_z]
+    terms = np.column_stack([i[order], j[order]]).ravel()
+    once, at = np.unique(terms, return_index=True)
+    return some[once[np.argsort(at)][: s.pair_terms]]
+
+
 def _select(sample: Sample, s: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Terms whose document share differs most between the labels, ascending, and
-    the log ratio of those shares."""
+    the log ratio of those shares; with them terms that differ in pairs only,
+    whose value is 1."""
     y = sample.y
     h, code, df = np.unique(sample.terms, return_inverse=True, return_counts=True)
     if not len(h):
@@ -143,11 +183,15 @@ def _select(sample: Sample, s: Settings) -> tuple[np.ndarray, np.ndarray]:
     pos = np.bincount(code, weights=y[sample.of], minlength=len(h))
     n1 = max(y.sum(), 1e-9)
     n0 = max(len(y) - y.sum(), 1e-9)
-    p, q, pool = pos / n1, (df - pos) / n0, df / len(y)
-    z = (p - q) / np.sqrt(np.maximum(pool * (1 - pool), 1e-9) * (1 / n1 + 1 / n0))
+    z = _difference(pos, df, n1, n0)
     keep = np.nonzero((df >= s.least_docs) & (np.abs(z) >= s.least_z))[0]
     keep = np.sort(keep[np.argsort(-np.abs(z[keep]), kind="stable")[: s.terms]])
     ratio = np.log((pos + 1) / (n1 + 2)) - np.log((df - pos + 1) / (n0 + 2))
+    plain = np.nonzero((df >= s.least_pair_docs) & (np.abs(z) < s.least_z))[0]
+    plain = np.sort(plain[np.argsort(-df[plain], kind="stable")[: s.pair_candidates]])
+    extra = _paired(sample, code, plain, n1, n0, s)
+    ratio[extra] = 1
+    keep = np.sort(np.concatenate([keep, extra]))
     return h[keep].astype(np.uint64), ratio[keep]
 
 
