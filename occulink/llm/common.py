@@ -11,7 +11,11 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Rows up to which ``lookup_join`` broadcasts, and its salts beyond that.
+LOOKUP_ROWS, SALTS = 100_000, 64
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -52,5 +56,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def lookup_join(df: DataFrame, side: DataFrame, on: list[str], spread: Column) -> DataFrame:
+    """Join staged ``side``, which has one row a key, to each row of ``df``.
+
+    The side is broadcast if it has at most ``LOOKUP_ROWS`` rows.  Otherwise it is
+    repeated under every salt and ``df``'s rows take a salt from ``spread``, so
+    that a key with many rows is dealt to ``SALTS`` tasks.
+    """
+    if side.limit(LOOKUP_ROWS + 1).count() <= LOOKUP_ROWS:
+        return df.join(F.broadcast(side), on)
+    salted = side.withColumn("lookup_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return df.withColumn("lookup_salt", F.pmod(spread, F.lit(SALTS)).cast("int")).join(salted, [*on, "lookup_salt"]).drop("lookup_salt")
+
+
 def ceil_div(a: int, b: int) -> int:
     return -(-a // b)
