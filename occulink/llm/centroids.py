@@ -28,7 +28,7 @@ from occulink.llm.common import stage
 from occulink.llm.vectors import usable
 
 #: Leading coordinates, and vectors that are handled at once.
-LEADING, BLOCK = 16, 2048
+LEADING, BLOCK = 48, 2048
 #: With components of at most LIMIT, squared distances of 64 dimensions stay
 #: below 2**62; larger ones are handled as Python integers.
 LIMIT = 1 << 27

@@ -163,8 +163,8 @@ def share(count: Column, total: Column, terms: Column) -> Column:
     """``1 + floor(1000000000 * (count + 5) / (total + 5 * terms))``, by long
     division in two steps (1000000000 = 31250 * 32000), so that nothing
     overflows below totals of 2.8e14."""
-    whole = total + terms * 5
-    high = (count + 5) * 31250
+    whole = total.cast("long") + terms.cast("long") * 5
+    high = (count.cast("long") + 5) * 31250
     return F.lit(1).cast("long") + _div(high, whole) * 32000 + _div((high % whole) * 32000, whole)
 
 

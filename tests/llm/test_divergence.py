@@ -1,0 +1,123 @@
+"""The divergence audit against a plain recount, with odd rows."""
+
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter, defaultdict
+from itertools import groupby
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from occulink.llm import divergence
+from occulink.llm.divergence import divergence_audit, find_terms, radix_order, share, sorted_buckets
+
+SCHEMA = "doc_id long, text string, lang string, source string, term string, n long, rank int"
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+UPPER = {c: c + 32 for c in range(65, 91)}
+
+
+def recount(rows, min_docs, top):
+    groups, docs, langs = defaultdict(Counter), Counter(), defaultdict(Counter)
+    for _, text, lang, source, *_ in rows:
+        lang, source = lang or "", source or ""
+        terms = Counter(TERM.findall((text or "").translate(UPPER)))
+        groups[lang, source].update(terms)
+        langs[lang].update(terms)
+        docs.update((lang, t) for t in terms)
+    out = []
+    shares = {}
+    for lang in langs | {k[0]: 0 for k in groups}:
+        kept = [t for t in langs[lang] if docs[lang, t] >= min_docs]
+        v = len(kept)
+        p = lambda c: {t: 1 + 10**9 * (c[t] + 5) // (sum(c[x] for x in kept) + 5 * v) for t in kept}  # noqa: B023, E731
+        shares[lang] = kept, p(langs[lang]), {s: p(c) for (g, s), c in groups.items() if g == lang}
+    for lang, (kept, q, of) in shares.items():
+        for s, p in of.items():
+            pairs = [(-sum(abs(p[t] - o[t]) for t in kept), x.encode(), x) for x, o in of.items() if x != s]
+            terms = [(q[t] - p[t], t.encode(), t) for t in kept if groups[lang, s][t] and p[t] > q[t]]
+            out += [(lang, s, "pair", x, -v, r) for r, (v, _, x) in enumerate(sorted(pairs), 1)]
+            out += [(lang, s, "term", t, -v, r) for r, (v, _, t) in enumerate(sorted(terms)[:top], 1)]
+    return sorted(out)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(5)
+    words = ["a", "Ab", "eight888", "exactly8", "sixteenletterss", "éàü", "ÉCLAIR", "mid-dle", "\x7fx", "x\x00y", "longer" * 4, "longer" * 4 + "b", "w" * 33, "w" * 200, "日本語", "𝔘𝔫𝔦", "seventeenletters1", "q" * 17, "İi"]
+    weights = [rng.random() ** 3 for _ in words]
+    rows = []
+    for i in range(300):
+        text = rng.choice([" ", "  ", ", ", "\n"]).join(rng.choices(words, weights, k=rng.randrange(30)))
+        rows.append((i, text, rng.choice(["en", "en", "de", None, ""]), rng.choice(["s0", "s0", "s1", "é", "Z", None]), "clash", 1, 2))
+    rows += [rows[3]] * 40  # repeated rows count each
+    rows += [(None, None, "en", "only null", None, None, None), (7, "", "fr", "s0", "x", 1, 1), (8, "rare", "fr", "s1", "x", 1, 1), (9, "z " * 60_000, "de", "s1", "", 0, 0)]
+    rows += [(10, "alone " * 3, "it", "s0", "", 0, 0)] * 12
+    return rows
+
+
+def test_audit_equals_a_plain_recount(spark, rows):
+    for min_docs, top in ((10, 4), (1, 50), (1000, 50)):
+        got = divergence_audit(spark.createDataFrame(rows, SCHEMA).repartition(5), min_docs, top)
+        assert dict(got.dtypes)["value"] == "bigint" and dict(got.dtypes)["rank"] == "int"
+        assert sorted(tuple(r) for r in got.select("lang", "source", "part", "item", "value", "rank").collect()) == recount(rows, min_docs, top)
+
+
+def test_small_chunks_blocks_and_tiles_change_nothing(spark, rows, monkeypatch):
+    whole = sorted(map(tuple, divergence_audit(spark.createDataFrame(rows, SCHEMA), 5, 50).collect()))
+    monkeypatch.setattr(divergence, "CELLS", 7)
+    monkeypatch.setattr(divergence, "TILE", 2)
+    assert sorted(map(tuple, divergence_audit(spark.createDataFrame(rows, SCHEMA), 5, 50).collect())) == whole
+
+
+def test_chunked_counts_add_up(rows, monkeypatch):
+    import pyarrow as pa
+
+    def counted(size):
+        monkeypatch.setattr(divergence, "CHUNK", size)
+        total = Counter()
+        table = pa.table({c: [r[i] or "" for r in rows] for c, i in (("lang", 2), ("source", 3), ("text", 1))})
+        for b in divergence.count_terms(iter(table.to_batches(max_chunksize=50))):
+            for r in b.to_pylist():
+                total[r["lang"], r["source"], r["term"], "n"] += r["n"]
+                total[r["lang"], r["source"], r["term"], "docs"] += r["docs"]
+        return total
+
+    assert counted(500) == counted(1 << 22)
+
+
+def test_share_is_exact_for_large_counts(spark):
+    for n, total, terms in ((10**13, 2 * 10**14, 10**9), (0, 7, 3), (10**14 - 1, 10**14, 1), (12345678901, 98765432109876, 77)):
+        got = spark.range(1).select(share(F.lit(n), F.lit(total), F.lit(terms)).alias("p")).first()[0]
+        assert got == 1 + 10**9 * (n + 5) // (total + 5 * terms)
+
+
+def test_terms_and_buckets_of_bytes():
+    texts = [b"", b"ab", b"cd ef", b"", b"\xc3\xa9", b"x" * 70]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    starts, lengths, docs = find_terms(data, offsets)
+    found = [(bytes(data[s : s + n]), int(d)) for s, n, d in zip(starts, lengths, docs, strict=True)]
+    assert found == [(b"ab", 1), (b"cd", 2), (b"ef", 2), (b"\xc3\xa9", 4), (b"x" * 70, 5)]
+    rng = random.Random(1)
+    terms = [bytes(rng.choices(b"abc\xff", k=rng.choice([1, 2, 7, 8, 9, 15, 16, 17, 32, 33, 64, 65, 300]))) for _ in range(2000)]
+    terms += terms[:500]
+    data = np.frombuffer(b"".join(terms), np.uint8)
+    lengths = np.array([len(t) for t in terms])
+    seen = Counter()
+    for order, new in sorted_buckets(data, np.cumsum(lengths) - lengths, lengths):
+        mine = [terms[i] for i in order]
+        assert mine == sorted(mine)
+        runs = [(k, len(list(g))) for k, g in groupby(mine)]
+        assert new.sum() == len(runs)
+        seen.update(dict(runs))
+    assert seen == Counter(terms)
+    w = [np.array([rng.getrandbits(64) for _ in range(500)] * 2, np.uint64) for _ in range(2)]
+    order = radix_order(w)
+    assert list(order) == sorted(range(1000), key=lambda i: (w[0][i], w[1][i], i))
+
+
+def test_empty_table(spark):
+    assert divergence_audit(spark.createDataFrame([], SCHEMA)).count() == 0
