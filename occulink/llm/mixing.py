@@ -168,7 +168,8 @@ def _mix(docs: DataFrame, m: Mixture) -> Mix:
     begin = F.greatest(F.col("at"), F.col("block") * m.block_words)
     end = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * m.block_words)
     pieces = pieces.select("s", "block", "row", (begin - F.col("at")).alias("start"), (begin - F.col("block") * m.block_words).alias("in_block"), (end - begin).alias("length"))
-    met = _slots(targets, m).join(pieces, ["s", "block"]).where(F.col("in_block") < F.col("words"))
+    # Spark takes exploded slots for few: without the hint it would broadcast them
+    met = _slots(targets, m).hint("merge").join(pieces.hint("merge"), ["s", "block"]).where(F.col("in_block") < F.col("words"))
     spans = met.select("shard", "slot", F.col("in_block").alias("at"), "row", "start", F.least(F.col("length"), F.col("words") - F.col("in_block")).alias("length"))
     return Mix(known.select("row", "doc_id", "size", "s"), targets.select("s", "source", "source_size", "target"), spans)
 
@@ -177,7 +178,7 @@ def taken_words(mixed: Mix) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` for every document: the words
     that the mix takes of it, repeats counted."""
     taken = mixed.spans.groupBy("row").agg(F.sum("length").alias("taken"))
-    docs = mixed.docs.join(taken, "row", "left")
+    docs = mixed.docs.join(taken.hint("merge"), "row", "left")
     return lookup_join(docs, mixed.sources, ["s"], F.xxhash64("row")).select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
 
 
