@@ -27,7 +27,7 @@ CHUNK = 8 << 20
 #: Bytes that a text counts besides its own.
 ROW = 64
 #: Source-term cells of a block, and sources of a tile, of the pairwise sums.
-CELLS, TILE = 2_000_000, 512
+CELLS, TILE = 100_000, 512
 
 #: Terms are runs of these bytes: letters A-Z, a-z and whatever is not ASCII.
 LETTER = np.zeros(256, bool)
