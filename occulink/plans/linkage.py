@@ -14,7 +14,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from occulink.operators import blocking, export, features, relate
+from occulink.operators import blocking, cellstore, export, features, relate
+from occulink.operators.export import RECORD_COLUMNS
 from occulink.session import apply_job_conf, cut_lineage
 from occulink.sources import sinks
 
@@ -70,9 +71,18 @@ def run_linkage(source: DataFrame, cfg: LinkageConfig = LinkageConfig()) -> Link
     return LinkageResult(recs, hashes, filtered, pairs, rel, export.export_cells(rel, cfg.buckets, cfg.with_json))
 
 
-def publish(result: LinkageResult, cells_path: str | None = None, table: str | None = None) -> None:
-    """Write the cells for lookup (partitioned by salt) and/or replace a
-    served relationships table as a whole."""
+def publish(
+    result: LinkageResult,
+    cells_path: str | None = None,
+    table: str | None = None,
+    store: cellstore.CellStore | None = None,
+) -> None:
+    """Serve the relationships: as a new version of a cell ``store`` (readers go
+    on during the switch), as plain files of cells partitioned by salt and / or
+    as a relationships table that is replaced as a whole."""
+    if store:
+        with_json = set(RECORD_COLUMNS) <= set(result.relationships.columns)
+        store.refresh(result.relationships, with_json)
     if cells_path:
         export.write_cells(result.cells, cells_path)
     if table:

@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from occulink.functions import identifiers as ident
 from occulink.functions.records import RECORD_COLUMNS
 from occulink.operators import blocking, export, facts, features, relate, rules
+from occulink.operators.cellstore import CellStore, Layout
 from occulink.operators.fasta import fasta
-from occulink.session import apply_job_conf
+from occulink.session import apply_job_conf, scratch_path
 from occulink.sources.fixtures import CHECKLIST_KEY, occurrence_source, sequence_source
 
 MAX_GROUP_SIZE = 100
@@ -198,13 +199,31 @@ def q_export_cells(spark, data_dir):
     return export.export_cells(_relationships(spark, data_dir, with_json=False), BUCKETS, with_json=False)
 
 
-def q_lookup_related(spark, data_dir):
-    """Batch lookup, through the salted layout, of what is related to the records
-    whose order had a returned line item."""
-    cells = export.export_cells(_relationships(spark, data_dir, with_json=False), BUCKETS, with_json=False)
+def served_cells(spark, data_dir, with_json: bool) -> CellStore:
+    """A cell store that serves all relationships of the data."""
+    store = CellStore(spark, scratch_path(spark, "cells"), Layout(buckets=BUCKETS))
+    store.refresh(_relationships(spark, data_dir, with_json), with_json)
+    return store
+
+
+def _returned_orders(spark, data_dir) -> DataFrame:
     returned = spark.read.parquet(f"{data_dir}/lineitem.parquet").where(F.col("l_returnflag") == "R")
-    ids = returned.select(F.col("l_orderkey").cast("string").alias("id"))
-    return export.related_records(cells, ids, BUCKETS)
+    return returned.select(F.col("l_orderkey").cast("string").alias("id"))
+
+
+def q_lookup_related(spark, data_dir):
+    """Batch lookup, in the written cells, of what is related to the records whose
+    order had a returned line item."""
+    return served_cells(spark, data_dir, with_json=False).related(_returned_orders(spark, data_dir))
+
+
+def q_lookup_record(spark, data_dir):
+    """Prefix lookup, in the written cells, of the record with the most
+    relationships (ties: the smallest id)."""
+    store = served_cells(spark, data_dir, with_json=True)
+    by_id = store.cells().where(F.col("qualifier") == "id1").groupBy("value").count()
+    busiest = by_id.orderBy(F.desc("count"), "value").first()
+    return store.lookup(busiest["value"] if busiest else "")
 
 
 def q_export_cells_records(spark, data_dir):
@@ -214,10 +233,7 @@ def q_export_cells_records(spark, data_dir):
 
 def q_lookup_related_records(spark, data_dir):
     """``lookup_related`` over all seven qualifiers."""
-    cells = export.export_cells(_relationships(spark, data_dir, with_json=True), BUCKETS)
-    returned = spark.read.parquet(f"{data_dir}/lineitem.parquet").where(F.col("l_returnflag") == "R")
-    ids = returned.select(F.col("l_orderkey").cast("string").alias("id"))
-    return export.related_records(cells, ids, BUCKETS)
+    return served_cells(spark, data_dir, with_json=True).related(_returned_orders(spark, data_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -248,6 +264,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "lookup_related": q_lookup_related,
     "export_cells_records": q_export_cells_records,
     "lookup_related_records": q_lookup_related_records,
+    "lookup_record": q_lookup_record,
 }
 
 # columns of a full record, as written by ``pair_records``

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,22 +56,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder to checkpoint on a cluster")
         configured = tempfile.mkdtemp(prefix="occulink-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/occulink-{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame, how: str | None, table: str | None = None) -> DataFrame:
     """Materialise a stage so a lost executor does not recompute the plan.
 
     ``how``: ``None`` (keep lazy), ``"checkpoint"`` (reliable checkpoint in
-    ``spark.checkpoint.dir``) or ``"table"`` (overwrite parquet table
-    ``table`` and read it back).
+    ``spark.checkpoint.dir``), ``"parquet"`` (files in that folder, whose later
+    reads prune columns) or ``"table"`` (overwrite parquet table ``table`` and
+    read it back).
     """
     if how is None:
         return df
+    if how == "parquet":
+        path = scratch_path(df.sparkSession, "stage")
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
     if how == "checkpoint":
         ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)

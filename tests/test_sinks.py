@@ -6,8 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from occulink.functions.geo import round_half_up
-from occulink.functions.hashing import salt
-from occulink.operators.export import salt_py
+from occulink.functions.hashing import java_string_hash, salt
+from occulink.operators.export import java_string_hash_py, salt_py
 from occulink.operators.fasta import fasta
 from occulink.sources.sinks import drop_stage_tables, replace_table
 
@@ -24,6 +24,14 @@ def test_salt_twins_agree(spark):
     assert {r.id: r.s for r in df.select("id", salt("id", 100).alias("s")).collect()} == {i: salt_py(i, 100) for i in ids}
 
 
+def test_hash_folds_utf16_units(spark):
+    # values of String.hashCode: 0xD83D * 31 + 0xDE00, and so on
+    known = {"\U0001f600": 1772899, "a\U0001f600": 97 * 961 + 1772899, "\U0001f600z": 1772899 * 31 + 122, "\U00010000": 0xD800 * 31 + 0xDC00, "\U0010ffff": 0xDBFF * 31 + 0xDFFF, "\uffff": 0xFFFF, "": 0, "polygenelubricants": -(1 << 31)}
+    df = spark.createDataFrame([(k,) for k in known], "id string")
+    assert {r.id: r.h for r in df.select("id", java_string_hash("id").alias("h")).collect()} == known
+    assert {k: java_string_hash_py(k) for k in known} == known
+
+
 def test_stage_tables_of_a_database_go(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS stage_db")
     spark.range(3).write.mode("overwrite").saveAsTable("stage_db.p_input")
