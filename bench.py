@@ -31,7 +31,7 @@ WARM_DIR = "/root/testdata/sf0.001"
 def linkage(spark, d):
     """Whole linkage job: records -> keys -> pairs -> rules -> both directions with JSON."""
     recs = Q.records(spark, d)
-    pairs = blocking.candidate_pairs(blocking.filter_hashes(blocking.record_hashes(recs), Q.MAX_GROUP_SIZE))
+    pairs = blocking.candidate_pairs(Q.kept_hashes(blocking.record_hashes(recs)))
     return relate.relationships(recs, pairs)
 
 

@@ -21,6 +21,8 @@ def _empty() -> Column:
 
 # Default bound on the broadcast list of over-full keys; see ``filter_hashes``.
 DEFAULT_STOP_LIST_SIZE = 10_000
+# Size of the prefilter's bitmap: 64 MB at most.
+MAX_PREFILTER_BITS = 1 << 29
 
 
 def _present(c: Column) -> Column:
@@ -249,11 +251,42 @@ def key_counts(hashes: DataFrame) -> DataFrame:
     return hashes.groupBy("hash").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def repeated_bitmap(hashes: DataFrame, bits: int) -> DataFrame:
+    """``(bucket, repeated)``: a bitmap, in pieces of 32,768 bits, of the hashed
+    positions that two rows or more fall on.  Rows are counted by position (8
+    bytes, combined map-side), not by key."""
+    position = F.pmod(F.xxhash64("hash"), F.lit(bits)) + 1
+    counts = hashes.select(position.alias("position")).groupBy("position").agg(F.count(F.lit(1)).alias("n"))
+    repeated = counts.where(F.col("n") > 1)
+    bit = F.bitmap_construct_agg(F.bitmap_bit_position("position")).alias("repeated")
+    return repeated.groupBy(F.bitmap_bucket_number("position").alias("bucket")).agg(bit)
+
+
+def prefilter_hashes(hashes: DataFrame, bits: int) -> DataFrame:
+    """Drop, before any shuffle of the rows, most rows whose key no other row
+    holds.  All rows of a key share a position, so a key with two rows or more
+    always stays; single ones stay where they meet another key's position.  The
+    broadcast bitmap holds at most ``bits / 8`` bytes."""
+    position = F.pmod(F.xxhash64("hash"), F.lit(bits)) + 1
+    rows = hashes.withColumn("_position", position).withColumn("bucket", F.bitmap_bucket_number("_position"))
+    bit = F.bitmap_bit_position("_position")
+    byte = F.substring("repeated", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))
+    is_set = F.getbit(F.conv(F.hex(byte), 16, 10).cast("bigint"), (bit % 8).cast("int")) == 1
+    kept = rows.join(F.broadcast(repeated_bitmap(hashes, bits)), "bucket").where(is_set)
+    return kept.select(*hashes.columns)
+
+
+def prefilter_bits(rows: int) -> int:
+    """16 bits a row, as a power of two, at most ``MAX_PREFILTER_BITS``."""
+    return min(MAX_PREFILTER_BITS, max(1 << 15, 1 << (16 * rows).bit_length()))
+
+
 def filter_hashes(
     hashes: DataFrame,
     max_group_size: int = 100,
     method: str = "group",
     stop_list_size: int = DEFAULT_STOP_LIST_SIZE,
+    bits: int | None = None,
 ) -> DataFrame:
     """Keep hash rows whose key is held by more than one and at most
     ``max_group_size`` rows (all datasets counted).
@@ -269,6 +302,9 @@ def filter_hashes(
     rows.  The remaining rows meet the allowed keys in one shuffle on
     ``hash``, whose partitioning the pair self-join then reuses.
 
+    ``bits`` puts ``prefilter_hashes`` in front, for hashes that are stored: it
+    reads them once more and spares single keys the shuffles.
+
     ``method="window"`` is the literal ``COUNT(*) OVER (PARTITION BY hash)``
     form, which buffers every row of a key in one task.
     """
@@ -281,6 +317,8 @@ def filter_hashes(
         )
     if method != "group":
         raise ValueError(f"unknown method {method!r}")
+    if bits:
+        hashes = prefilter_hashes(hashes, bits)
     counts = key_counts(hashes)
     allowed = counts.where((F.col("cnt") > 1) & (F.col("cnt") <= max_group_size)).select("hash")
     rows = hashes
@@ -296,16 +334,23 @@ def candidate_pairs(filtered: DataFrame) -> DataFrame:
     """Distinct ``(id1, ds1, id2, ds2)`` for records sharing a kept key.
 
     ``id1 < id2`` (string order) keeps each pair once and ``ds1 != ds2``
-    skips pairs inside one dataset; both are residual conditions of the
-    equi-join on ``hash``.  The distinct runs on data hash-partitioned by
-    ``id1`` so the following join to the left record reuses that shuffle.
+    skips pairs inside one dataset.  Each row carries the smaller ones of its
+    record's kept keys, and a pair counts only at the least key that both
+    records hold: where they share a smaller one, it has counted there.  So
+    pairs come out of the join distinct, however many keys they share, and no
+    pair is shuffled to find that out.  A record's keys are gathered by one
+    exchange of the key rows.
     """
-    left = filtered.select("hash", F.col("gbifId").alias("id1"), F.col("datasetKey").alias("ds1"))
-    right = filtered.select("hash", F.col("gbifId").alias("id2"), F.col("datasetKey").alias("ds2"))
+    keys = filtered.groupBy("gbifId", "datasetKey").agg(F.sort_array(F.collect_set("hash")).alias("keys"))
+    rows = keys.select("gbifId", "datasetKey", "keys", F.posexplode("keys").alias("place", "hash"))
+    rows = rows.select("gbifId", "datasetKey", "hash", F.slice("keys", F.lit(1), F.col("place")).alias("smaller"))
+    left = rows.select("hash", F.col("gbifId").alias("id1"), F.col("datasetKey").alias("ds1"), F.col("smaller").alias("smaller1"))
+    right = rows.select("hash", F.col("gbifId").alias("id2"), F.col("datasetKey").alias("ds2"), F.col("smaller").alias("smaller2"))
     joined = left.join(
         right,
         (left["hash"] == right["hash"])
         & (left["id1"] < right["id2"])
-        & (left["ds1"] != right["ds2"]),
+        & (left["ds1"] != right["ds2"])
+        & ~F.arrays_overlap("smaller1", "smaller2"),
     )
-    return joined.select("id1", "ds1", "id2", "ds2").repartition("id1").distinct()
+    return joined.select("id1", "ds1", "id2", "ds2")

@@ -18,7 +18,7 @@ from occulink.functions.records import RECORD_COLUMNS
 from occulink.operators import blocking, export, facts, features, relate, rules
 from occulink.operators.cellstore import CellStore, Layout
 from occulink.operators.fasta import fasta
-from occulink.session import apply_job_conf, scratch_path
+from occulink.session import apply_job_conf, cut_lineage, scratch_path
 from occulink.sources.fixtures import CHECKLIST_KEY, occurrence_source, sequence_source
 
 MAX_GROUP_SIZE = 100
@@ -49,8 +49,15 @@ def _hashes(spark, data_dir, families=tuple(blocking.KEY_FAMILIES)) -> DataFrame
     return blocking.record_hashes(records(spark, data_dir), families)
 
 
+def kept_hashes(hashes: DataFrame) -> DataFrame:
+    """The key filter over stored key rows, so that keys are derived once and
+    single ones go before the shuffle."""
+    stored = cut_lineage(hashes, "parquet")
+    return blocking.filter_hashes(stored, MAX_GROUP_SIZE, bits=blocking.prefilter_bits(stored.count()))
+
+
 def _filtered(spark, data_dir) -> DataFrame:
-    return blocking.filter_hashes(_hashes(spark, data_dir), MAX_GROUP_SIZE)
+    return kept_hashes(_hashes(spark, data_dir))
 
 
 def _pairs(spark, data_dir) -> DataFrame:
@@ -59,13 +66,13 @@ def _pairs(spark, data_dir) -> DataFrame:
 
 def _paired(spark, data_dir) -> DataFrame:
     recs = records(spark, data_dir)
-    pairs = blocking.candidate_pairs(blocking.filter_hashes(blocking.record_hashes(recs), MAX_GROUP_SIZE))
+    pairs = blocking.candidate_pairs(kept_hashes(blocking.record_hashes(recs)))
     return relate.attach_records(pairs, features.comparison_features(recs))
 
 
 def _relationships(spark, data_dir, with_json: bool) -> DataFrame:
     recs = records(spark, data_dir)
-    pairs = blocking.candidate_pairs(blocking.filter_hashes(blocking.record_hashes(recs), MAX_GROUP_SIZE))
+    pairs = blocking.candidate_pairs(kept_hashes(blocking.record_hashes(recs)))
     return relate.relationships(recs, pairs, with_json=with_json)
 
 
@@ -145,7 +152,7 @@ def q_candidate_pairs(spark, data_dir):
 
 def q_candidate_records(spark, data_dir):
     recs = records(spark, data_dir)
-    pairs = blocking.candidate_pairs(blocking.filter_hashes(blocking.record_hashes(recs), MAX_GROUP_SIZE))
+    pairs = blocking.candidate_pairs(kept_hashes(blocking.record_hashes(recs)))
     wide = relate.pair_records(pairs, recs)
     for side in ("t1_", "t2_"):
         wide = render_lists(wide, prefix=side)

@@ -69,3 +69,36 @@ def test_candidate_pairs_order_and_dataset(spark):
     got = sorted(tuple(r) for r in blocking.candidate_pairs(h).collect())
     # string order: "10" < "11" < "9"; 10/11 share a dataset; the 9-10 pair appears once
     assert got == [("10", "d2", "9", "d1"), ("11", "d2", "9", "d1")]
+
+
+def test_pairs_sharing_many_keys_come_once_without_an_aggregate(spark):
+    import itertools
+    import random
+
+    rng = random.Random(4)
+    records = {f"r{i:02}": (f"d{i % 3}", rng.sample([f"K{k}" for k in range(30)], rng.randrange(1, 20))) for i in range(40)}
+    h = _hash_rows(spark, [(i, d, k) for i, (d, keys) in records.items() for k in keys])
+    pairs = blocking.candidate_pairs(h.repartition(5))
+    want = sorted((a, da, b, db) for (a, (da, ka)), (b, (db, kb)) in itertools.combinations(sorted(records.items()), 2) if da != db and set(ka) & set(kb))
+    assert sorted(tuple(r) for r in pairs.collect()) == want
+    plan = blocking.candidate_pairs(h)._jdf.queryExecution().executedPlan().toString()
+    above = plan[: min(plan.index(j) for j in ("SortMergeJoin", "HashJoin") if j in plan)]
+    assert "Aggregate" not in above and "Exchange" not in above
+
+
+def test_prefilter_drops_no_repeated_key(spark):
+    rows = [(f"a{i}", "d1", f"ONCE{i}") for i in range(2000)]
+    rows += [(f"b{i}{j}", "d2", f"TWICE{i}") for i in range(300) for j in range(2)]
+    rows += [(f"c{i}", "d3", "MANY") for i in range(50)]
+    h = _hash_rows(spark, rows)
+    repeated = {r for r in rows if not r[2].startswith("ONCE")}
+    for bits in (1, 8, 1 << 10, 1 << 15, blocking.prefilter_bits(len(rows)), 1 << 22):
+        kept = [tuple(r) for r in blocking.prefilter_hashes(h, bits).collect()]
+        assert len(kept) == len(set(kept)) and repeated <= set(kept) <= set(rows)
+    assert len(kept) < len(repeated) + 20
+    assert blocking.prefilter_hashes(h, 1).count() == len(rows)  # one position: nothing can go
+    for size in (2, 49, 50):
+        want = sorted(map(tuple, blocking.filter_hashes(h, size).collect()))
+        assert sorted(map(tuple, blocking.filter_hashes(h, size, bits=1 << 15).collect())) == want
+    assert blocking.prefilter_hashes(h.limit(0), 1 << 15).count() == 0
+    assert blocking.prefilter_bits(0) == 1 << 15 and blocking.prefilter_bits(10**12) == blocking.MAX_PREFILTER_BITS
