@@ -476,6 +476,20 @@ ORACLE_SQL: dict[str, str] = {
     + "SELECT c.salt, c.row_key, c.qualifier, c.value FROM all_cells c SEMI JOIN hits USING (row_key)",
     "lookup_record": _with(*_REL_CTES, RECORD_CELLS_CTE, _BUSIEST_CTE)
     + "SELECT c.salt, c.row_key, c.qualifier, c.value FROM all_cells c SEMI JOIN hits USING (row_key)",
+    "sql_functions": _with(RECORDS_CTE)
+    + f""", r AS (
+      SELECT gbifId, countryCode, decimalLatitude AS lat, decimalLongitude AS lng, {norm("catalogNumber")} AS code,
+             {eligible("catalogNumber")} AS eligible, {numeric("fieldNumber")} AS numeric_field,
+             CASE WHEN length(scientificName) > 0 THEN regexp_replace(upper(scientificName), '[^{IUPAC_NUCLEOTIDES}]', '', 'g') END AS letters
+      FROM rec),
+    f AS (SELECT countryCode, arg_min(lat, gbifId) AS lat0, arg_min(lng, gbifId) AS lng0 FROM r
+          WHERE lat IS NOT NULL AND lng IS NOT NULL GROUP BY countryCode),
+    d AS (
+      SELECT r.*, pow(sin(radians(lat - lat0) / 2), 2) + cos(radians(lat0)) * cos(radians(lat)) * pow(sin(radians(lng - lng0) / 2), 2) AS hv
+      FROM r JOIN f ON f.countryCode IS NOT DISTINCT FROM r.countryCode)
+    SELECT countryCode, code, eligible, numeric_field, letters, count(*) AS records,
+           round(max(6371.0 * (2 * atan2(sqrt(hv), sqrt(1 - hv)))), 6) AS farthest_km
+    FROM d GROUP BY ALL""",
     "relationship_json": _with(*_REL_CTES, RECORD_CELLS_CTE)
     + "SELECT rel.id1, rel.id2, a.doc AS o1, b.doc AS o2 FROM rel JOIN docs a ON a.gbifId = rel.id1 JOIN docs b ON b.gbifId = rel.id2",
 }

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from occulink.functions import identifiers as ident
+from occulink.functions import sql
 from occulink.functions.records import RECORD_COLUMNS
 from occulink.operators import blocking, export, facts, features, relate, rules
 from occulink.operators.cellstore import CellStore, Layout
@@ -243,6 +244,31 @@ def q_lookup_related_records(spark, data_dir):
     return served_cells(spark, data_dir, with_json=True).related(_returned_orders(spark, data_dir))
 
 
+def q_sql_functions(spark, data_dir):
+    """A report in SQL over the session's functions: records by country,
+    normalised catalog number (and whether it is eligible), numeric field number
+    and nucleotide letters of the name, with the greatest distance from the
+    country's located record of the smallest id."""
+    sql.register(spark)
+    records(spark, data_dir).createOrReplaceTempView("occulink_records")
+    return spark.sql(
+        """
+        WITH r AS (
+          SELECT gbifId, countryCode, decimalLatitude AS lat, decimalLongitude AS lng,
+                 normalize_identifier(catalogNumber) AS code,
+                 is_eligible_identifier(catalogNumber) AS eligible,
+                 is_numeric_identifier(fieldNumber) AS numeric_field,
+                 normalize_sequence(scientificName) AS letters
+          FROM occulink_records),
+        f AS (SELECT countryCode, min_by(lat, gbifId) AS lat0, min_by(lng, gbifId) AS lng0 FROM r
+              WHERE lat IS NOT NULL AND lng IS NOT NULL GROUP BY countryCode)
+        SELECT r.countryCode, r.code, r.eligible, r.numeric_field, r.letters, count(*) AS records,
+               round(max(great_circle_km(lat0, lng0, lat, lng)), 6) AS farthest_km
+        FROM r JOIN f ON f.countryCode <=> r.countryCode
+        GROUP BY r.countryCode, r.code, r.eligible, r.numeric_field, r.letters"""
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fasta_distinct": q_fasta_distinct,
     "input_projection": q_input_projection,
@@ -272,6 +298,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "export_cells_records": q_export_cells_records,
     "lookup_related_records": q_lookup_related_records,
     "lookup_record": q_lookup_record,
+    "sql_functions": q_sql_functions,
 }
 
 # columns of a full record, as written by ``pair_records``

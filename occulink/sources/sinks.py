@@ -18,12 +18,36 @@ def write_text(df: DataFrame, path: str, compression: str = "none") -> None:
     df.write.mode("overwrite").option("compression", compression).text(path)
 
 
-def drop_stage_tables(spark: SparkSession, prefix: str) -> None:
-    """Remove the stage tables of a previous run with this prefix, which may
-    name a database (``db.prefix``)."""
-    for suffix in STAGE_SUFFIXES:
-        name = ".".join(f"`{part}`" for part in f"{prefix}_{suffix}".split("."))
-        spark.sql(f"DROP TABLE IF EXISTS {name} PURGE")
+def write_bucketed_table(df: DataFrame, name: str, buckets: int, key: str) -> None:
+    """Overwrite a managed table of ``buckets`` buckets by ``key``, sorted in each."""
+    df.write.format("parquet").option("compression", "snappy").bucketBy(buckets, key).sortBy(key).mode("overwrite").saveAsTable(name)
+
+
+def _quoted(name: str) -> str:
+    return ".".join(f"`{part}`" for part in name.split("."))
+
+
+def stage_table(prefix: str, suffix: str) -> str:
+    """Name of a stage table; the prefix may name a database (``db.prefix``)."""
+    return f"{prefix}_{suffix}"
+
+
+def drop_stage_tables(spark: SparkSession, prefix: str, suffixes: tuple[str, ...] = STAGE_SUFFIXES) -> None:
+    """Remove the stage tables of a previous run with this prefix."""
+    for suffix in suffixes:
+        spark.sql(f"DROP TABLE IF EXISTS {_quoted(stage_table(prefix, suffix))} PURGE")
+
+
+def set_table_property(spark: SparkSession, name: str, key: str, value: str) -> None:
+    spark.sql(f"ALTER TABLE {_quoted(name)} SET TBLPROPERTIES ('{key}' = '{value}')")
+
+
+def table_property(spark: SparkSession, name: str, key: str) -> str | None:
+    """A property of a table; ``None`` without the property or the table."""
+    if not spark.catalog.tableExists(name):
+        return None
+    rows = spark.sql(f"SHOW TBLPROPERTIES {_quoted(name)}").collect()
+    return next((r["value"] for r in rows if r["key"] == key), None)
 
 
 def replace_table(df: DataFrame, name: str) -> None:
