@@ -21,7 +21,7 @@ from occulink.llm.common import stage
 from occulink.llm.vectors import code_blocks, query_blocks, rerank, scan, usable
 
 #: Code bits per dimension, and the width of the error bound.
-BITS_PER_DIM, EPS, SEED = 4, 3.0, 20240
+BITS_PER_DIM, EPS, SEED = 16, 3.0, 20240
 
 
 def code_bits(dim: int) -> int:
