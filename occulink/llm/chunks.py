@@ -23,13 +23,13 @@ CACHE_CHUNKS = 250_000
 PART_BYTES = 4_000_000
 
 
-def parts(texts: pa.Array) -> Iterator[pa.Array]:
-    """Neighbouring texts of some ``PART_BYTES`` together."""
+def parts(texts: pa.Array, size: int) -> Iterator[pa.Array]:
+    """Neighbouring texts of some ``size`` bytes together."""
     ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < len(texts):
         done = ends[at - 1] if at else 0
-        to = max(at + 1, int(np.searchsorted(ends, done + PART_BYTES, side="right")))
+        to = max(at + 1, int(np.searchsorted(ends, done + size, side="right")))
         yield texts.slice(at, to - at)
         at = to
 
@@ -75,12 +75,12 @@ class ChunkEncoder:
     """Ids of whole texts by ``encode``, which maps chunks to their ids as
     little-endian unsigned 32-bit numbers."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]]) -> None:
-        self.encode, self.cache = encode, {}
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], part_bytes: int = PART_BYTES) -> None:
+        self.encode, self.part_bytes, self.cache = encode, part_bytes, {}
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the batch and where each text's ids start."""
-        made = [self._part(p) for p in parts(pc.fill_null(texts, ""))]
+        made = [self._part(p) for p in parts(pc.fill_null(texts, ""), self.part_bytes)]
         ends = np.cumsum([0, *(len(ids) for ids, _ in made)])
         starts = [end + s[:-1] for end, (_, s) in zip(ends, made, strict=False)]
         return np.concatenate([np.zeros(0, "<u4"), *(ids for ids, _ in made)]), np.concatenate([*starts, ends[-1:]])

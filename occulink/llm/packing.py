@@ -56,6 +56,11 @@ def _written(word: str) -> str:
     return word if word.isascii() else word.encode().decode("latin-1").translate(BYTE_CHARACTERS)
 
 
+#: Bytes of text whose words are told apart together: of larger parts fewer words
+#: are distinct, but a worker's arrays grow with them.
+PART_BYTES = 12_000_000
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> ChunkEncoder:
     import os
@@ -114,7 +119,7 @@ def encoder(path: str) -> ChunkEncoder:
                 begin = end
         return out
 
-    return ChunkEncoder(encode)
+    return ChunkEncoder(encode, PART_BYTES)
 
 
 def tokenised(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
