@@ -1,5 +1,6 @@
 """Input projection (PF1-PF6, S18): map lookups, the three-valued issue filter."""
 
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from occulink.operators.features import input_projection
@@ -60,3 +61,21 @@ def test_filters_and_projection(spark):
     assert r.typeStatus == ["Holotype"] and r.recordedBy == ["Ann"]
     assert r.eventDate == "2000-01-02 00:00:00" and r.media == '[{"a":1}]'
     assert len(out[0].asDict()) == 23
+
+
+def test_vocabulary_structs_are_unwrapped_end_to_end(spark):
+    """Type status and recorders stored as vocabulary structs give the same
+    records, and so the same keys, as plain lists."""
+    from occulink.operators.blocking import record_hashes
+    from occulink.operators.features import input_projection
+    from occulink.sources.fixtures import CHECKLIST_KEY, occurrence_source
+    from tests.conftest import SF_SMALL
+
+    plain = occurrence_source(spark, SF_SMALL)
+    wrapped = plain
+    for name in ("typeStatus", "recordedBy"):
+        struct = F.struct(F.col(name).alias("concepts"), F.array(F.lit("l")).alias("lineage"))
+        wrapped = wrapped.withColumn(name, F.when(F.col(name).isNotNull(), struct))
+    one, two = (input_projection(df, CHECKLIST_KEY) for df in (plain, wrapped))
+    assert one.exceptAll(two).count() == two.exceptAll(one).count() == 0
+    assert record_hashes(one, ("type", "recorder")).exceptAll(record_hashes(two, ("type", "recorder"))).count() == 0

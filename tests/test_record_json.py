@@ -45,3 +45,15 @@ def test_missing_relationship_column(spark):
     with pytest.raises(ValueError, match="o1"):
         export.export_cells(rel, 7)
     assert export.export_cells(rel, 7, with_json=False).count() == 5
+
+
+def test_nested_values_stay_values(spark):
+    """Lists and JSON text inside a record are JSON values, not quoted text."""
+    df = spark.createDataFrame(
+        [("1", ["a", 'b"c', None], [], None, '{"k":{"l":[1,{"m":"n\\"o"}]}}', 1.5)],
+        "gbifId string, typeStatus array<string>, recordedBy array<string>, otherCatalogNumbers array<string>, media string, decimalLatitude double",
+    )
+    rest = [F.lit(None).cast("string").alias(c) for c in RECORD_COLUMNS if c not in df.columns]
+    record = json.loads(df.select("*", *rest).select(record_json().alias("j")).first().j)
+    assert record["typeStatus"] == ["a", 'b"c', None] and record["recordedBy"] == [] and record["otherCatalogNumbers"] is None
+    assert record["media"] == {"k": {"l": [1, {"m": 'n"o'}]}} and record["decimalLatitude"] == 1.5
