@@ -75,7 +75,8 @@ def nearest(embeddings: DataFrame, is_query: Column, k: int = 5, id_col: str = "
     """``query_id, rank, vec_id, score``: for each query row the ``k`` nearest
     rows found, by cosine in double precision on the original vectors.
 
-    Ties go to the smaller id.  Vectors that are null, empty or zero or hold
+    Ties go to the smaller id.  Rows with a null id take no part, as queries or as
+    candidates.  Vectors that are null, empty or zero or hold
     nulls or non-finite numbers take no part; a query meets vectors of its own
     dimension.  Rows repeated under one id are rows of their own.  Fewer than
     ``k`` candidates are all returned; an empty table gives no rows.

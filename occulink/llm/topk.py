@@ -72,7 +72,8 @@ def top_k(embeddings: DataFrame, is_query: Column, k: int = 10, id_col: str = "v
     """``query_id, rank, vec_id, score``: for each query row the ``k`` largest
     integer inner products of ``floor(1024 * x)`` vectors, among all other rows.
 
-    Ties go to the smaller id.  Null vectors, empty ones and those that hold
+    Ties go to the smaller id.  Rows with a null id take no part, as queries or as
+    candidates.  Null vectors, empty ones and those that hold
     nulls or non-finite numbers take no part; a query meets vectors of its own
     dimension.  Scores are exact as long as they and ``floor(1024 * x)`` fit into
     64 bits; a component, or a score that has to be read, outside of that raises
