@@ -15,6 +15,10 @@ enough words, from each line on and up to each line, are counted and compared in
 the same way.  Any passage of whole lines with enough words holds the run from
 its first line on and the one up to its last, and such runs make it up: it is
 found whatever stands around it.
+
+Lines are counted first: a chunk or run can only occur again if each of its lines
+does.  Blocks of texts send the hashes of their distinct lines to buckets, which
+return one bit a hash, and only chunks and runs of repeated lines become rows.
 """
 
 from __future__ import annotations
@@ -23,16 +27,22 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from occulink.llm.common import stage
+from occulink.llm.common import ceil_div, stage
+from occulink.llm.jaccard import MIX, _scramble
 
-LINE_END = re.compile(r"\n+|(?<=[.!?…])[ \t]+")
+LINE_END = re.compile(r"[.!?…\n](?:(?<=\n)\n*|(?<!\n)[ \t]+)")  # only the ends of matches count
 BASE, MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
+#: Lines of a block of texts (more only by its last text) and of a bucket of line
+#: hashes; rows of a batch.
+BLOCK_LINES, BUCKET_LINES, BATCH_ROWS = 50_000, 250_000, 50_000
+_BLOBS = ("rows", "counts", "lengths", "begins", "finishes", "words", "hashes")
 SHORT = 1 << 30  # added to a shortest run's first line, which sets ``at`` apart from that of chunks
 
 
@@ -145,30 +155,159 @@ def holes(repeats: list[tuple[int, int, int, int]], rules: Rules = Rules()) -> l
     return out
 
 
-def _signed(h: int) -> int:
-    return h - (1 << 64) if h >> 63 else h
+def line_tables(numbered: DataFrame) -> DataFrame:
+    """The lines that are not blank, as arrays: one row (``block``) for every
+    ``BLOCK_LINES`` or so.  Per text its ``__row``, number of lines and length,
+    per line its hash, span and words; a text's lines are in one block."""
+    ids = numbered.schema["doc_id"]
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh64_intdigest
+        for b in batches:
+            rows, texts, kept = b.column(0).to_numpy(), b.column(1), 0
+            counts: list[int] = []
+            lengths: list[int] = []
+            hashes: list[int] = []
+            begins, finishes, words = [], [], []
+            for i in range(len(rows)):
+                t, before = texts[i].as_py() or "", len(hashes)
+                for s, e in lines(t):
+                    if body := t[s:e].strip():
+                        hashes.append(digest(body))
+                        begins.append(s)
+                        finishes.append(e)
+                        words.append(len(body.split()))
+                counts.append(len(hashes) - before)
+                lengths.append(len(t))
+                if len(hashes) >= BLOCK_LINES or (hashes and i + 1 == len(rows)):
+                    ints = (np.array(x, np.int32).tobytes() for x in (counts, lengths, begins, finishes, words))
+                    part = b.column(2).slice(kept, i + 1 - kept)
+                    listed = pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part)
+                    blobs = [pa.array([x], pa.binary()) for x in (rows[kept : i + 1].tobytes(), *ints, np.array(hashes, np.uint64).tobytes())]
+                    yield pa.RecordBatch.from_arrays([pa.array(rows[kept : kept + 1]), pa.array([len(hashes)], pa.int64()), listed, *blobs], names=["block", "n", "ids", *_BLOBS])
+                    kept = i + 1
+                    for x in (counts, lengths, hashes, begins, finishes, words):
+                        x.clear()
+
+    kinds = [T.StructField("block", T.LongType()), T.StructField("n", T.LongType()), T.StructField("ids", T.ArrayType(ids.dataType))]
+    return numbered.select("__row", "text", "doc_id").mapInArrow(read, T.StructType([*kinds, *(T.StructField(k, T.BinaryType()) for k in _BLOBS)]))
+
+
+def _dealt(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A block's distinct keys (hashes without their lowest bit) by bucket, how
+    often each occurs, and where the buckets begin."""
+    keys, times = np.unique(hashes & ~np.uint64(1), return_counts=True)
+    bucket = (keys >> np.uint64(40)) % np.uint64(buckets)
+    order = np.argsort(bucket, kind="stable")
+    return keys[order], times[order], np.searchsorted(bucket[order], np.arange(buckets + 1, dtype=np.uint64))
+
+
+def repeated_lines(blocks: DataFrame, buckets: int) -> DataFrame:
+    """``block, flags``: for each bucket a block has keys in, one bit a key, in the
+    order of ``_dealt``: set where the line occurs again anywhere.
+
+    A block sends each of its distinct keys once, whatever its lines' frequency,
+    and gets a bit back; a bucket counts its keys as arrays."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for block, raw in zip(b.column(0), b.column(1), strict=True):
+                keys, times, starts = _dealt(np.frombuffer(raw.as_py(), np.uint64), buckets)
+                marked = keys | (times > 1).astype(np.uint64)
+                some = np.flatnonzero(np.diff(starts))
+                sent = [marked[starts[k] : starts[k + 1]].tobytes() for k in some]
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([block.as_py()] * len(some), pa.int64()), pa.array(sent, pa.binary())], names=["bucket", "block", "keys"])
+
+    def count(group: pa.Table) -> pa.Table:
+        parts = [np.frombuffer(x.as_py(), np.uint64) for x in group.column("keys")]
+        every = np.concatenate(parts)
+        _, code, times = np.unique(every >> np.uint64(1), return_inverse=True, return_counts=True)
+        again = times > 1
+        again[code[(every & np.uint64(1)) > 0]] = True
+        found, at, flags = again[code], 0, []
+        for x in parts:
+            flags.append(np.packbits(found[at : at + len(x)]).tobytes())
+            at += len(x)
+        return pa.table({"block": group.column("block"), "bucket": group.column("bucket"), "flags": pa.array(flags, pa.binary())})
+
+    sent = blocks.select("block", "hashes").mapInArrow(send, "bucket int, block long, keys binary")
+    replies = sent.groupBy("bucket").applyInArrow(count, "block long, bucket int, flags binary")
+    return replies.groupBy("block").agg(F.collect_list(F.struct("bucket", "flags")).alias("flags"))
+
+
+def _span_hashes(hashes: np.ndarray, first: np.ndarray, last: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of lines ``first`` to before ``last`` each, from sums of the line
+    hashes times powers of an odd number (modulo 2**64)."""
+    powers = np.full((2, len(hashes) + 1), [[BASE], [pow(BASE, -1, 1 << 64)]], np.uint64)
+    powers[:, 0] = 1
+    power, back = np.cumprod(powers, axis=1, dtype=np.uint64)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_scramble(hashes) * power[:-1], dtype=np.uint64)])
+    h = (sums[last] - sums[first]) * back[first]
+    return _scramble(_scramble(h * MIX + (last - first).astype(np.uint64)) + np.uint64(seed))
+
+
+def _candidates(hashes: np.ndarray, begins: np.ndarray, finishes: np.ndarray, words: np.ndarray, counts: np.ndarray, lengths: np.ndarray, again: np.ndarray, rules: Rules) -> tuple[np.ndarray, ...]:
+    """``text, at, begin, finish, hash`` of a block's chunks and shortest runs (as
+    ``chunks`` and ``shortest_runs`` give them) of which each line occurs again."""
+    n, text = len(hashes), np.repeat(np.arange(len(counts)), counts)
+    ends = np.cumsum(counts)
+    first, last = (ends - counts)[text], ends[text]  # of each line's text
+    line = np.arange(n)
+    roll = np.zeros(n, np.uint64)
+    for k in range(rules.window - 1, -1, -1):
+        inside = line - k >= first
+        roll[inside] = roll[inside] * np.uint64(BASE) + hashes[line[inside] - k]
+    cut = ((roll >> np.uint64(32)) % np.uint64(rules.divisor) == 0) | (line + 1 == last)
+    to = np.flatnonzero(cut) + 1
+    of = np.concatenate([[0], to[:-1]])
+    whose = text[of]
+    begin = np.where(of == first[of], 0, finishes[of - 1])
+    # lines after the last boundary: the chunk goes on to the end of the text
+    bounded = (roll[to - 1] >> np.uint64(32)) % np.uint64(rules.divisor) == 0
+    finish = np.where(bounded, finishes[to - 1], lengths[whose])
+    number = np.arange(len(of)) - np.searchsorted(of, first[of])
+    fresh = np.concatenate([[0], np.cumsum(~again)])
+    keep = fresh[to] == fresh[of]
+    found = [(whose[keep], number[keep], begin[keep], finish[keep], _span_hashes(hashes, of[keep], to[keep], 1))]
+    if rules.short_runs:
+        total = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+        on = np.searchsorted(total, total[:-1] + rules.least_words)  # from each line on
+        up = np.searchsorted(total, total[1:] - rules.least_words, "right") - 1  # up to each line
+        a = np.concatenate([line[on <= last], up[up >= first]])
+        b = np.concatenate([on[on <= last], line[up >= first] + 1])
+        keep = fresh[b] == fresh[a]
+        a, b = np.divmod(np.unique(a[keep] * (n + 1) + b[keep]), n + 1)
+        found.append((text[a], SHORT + a - first[a], begins[a], finishes[b - 1], _span_hashes(hashes, a, b, 2)))
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def chunk_rows(numbered: DataFrame, rules: Rules) -> DataFrame:
-    """``doc_id, row, at, begin, finish, hash`` of the chunks and shortest runs of all texts (blank ones have none)."""
+    """``doc_id, row, at, begin, finish, hash`` of the chunks and shortest runs of
+    all texts (blank ones have none) that may occur again: each line does."""
+    blocks = stage(line_tables(numbered), "line-blocks")
+    buckets = ceil_div(blocks.agg(F.sum("n")).first()[0] or 1, BUCKET_LINES)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[tuple] = []
-            for i, (row, text) in enumerate(zip(b.column(0).to_pylist(), b.column(1), strict=True)):
-                t = text.as_py() or ""
-                for at, (s, e, body) in enumerate(chunks(t, rules)):
-                    if body:
-                        out.append((i, row, at, s, e, _signed(xxhash.xxh64_intdigest(body, 1))))
-                for at, s, e, body in shortest_runs(t, rules) if rules.short_runs else ():
-                    out.append((i, row, SHORT + at, s, e, _signed(xxhash.xxh64_intdigest(body, 2))))
-            of, *cols = list(zip(*out, strict=True)) or [()] * 6
-            types = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
-            ids = b.column(2).take(pa.array(of, pa.int64()))
-            yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], names=["doc_id", "row", "at", "begin", "finish", "hash"])
+            for x in range(b.num_rows):
+                rows, *ints, hashes = (b.column(k)[x].as_py() for k in _BLOBS)
+                counts, lengths, begins, finishes, words = (np.frombuffer(v, np.int32).astype(np.int64) for v in ints)
+                rows, hashes = np.frombuffer(rows, np.int64), np.frombuffer(hashes, np.uint64)
+                keys, _, starts = _dealt(hashes, buckets)
+                known = np.zeros(len(keys), bool)
+                for f in b.column("flags")[x].as_py():
+                    a, z = starts[f["bucket"]], starts[f["bucket"] + 1]
+                    known[a:z] = np.unpackbits(np.frombuffer(f["flags"], np.uint8), count=z - a)
+                order = np.argsort(keys)
+                again = known[order][np.searchsorted(keys[order], hashes & ~np.uint64(1))]
+                text, *cols = _candidates(hashes, begins, finishes, words, counts, lengths, again, rules)
+                for at in range(0, len(text), BATCH_ROWS):
+                    part = slice(at, at + BATCH_ROWS)
+                    made = [pa.array(c[part].view(np.int64) if c.dtype == np.uint64 else c[part].astype(np.int32)) for c in cols]
+                    yield pa.RecordBatch.from_arrays([b.column("ids")[x].values.take(pa.array(text[part])), pa.array(rows[text[part]]), *made], names=["doc_id", "row", "at", "begin", "finish", "hash"])
 
     kinds = T._parse_datatype_string("row long, at int, begin int, finish int, hash long")
-    return numbered.select("__row", "text", "doc_id").mapInArrow(cut, T.StructType([numbered.schema["doc_id"], *kinds.fields]))
+    return blocks.drop("n").join(repeated_lines(blocks, buckets), "block").mapInArrow(cut, T.StructType([numbered.schema["doc_id"], *kinds.fields]))
 
 
 def _edge(text: str, chunk: tuple[int, int, str] | None) -> tuple[str, list[int], list[int]]:
