@@ -24,25 +24,27 @@ from pyspark.sql import types as T
 
 from occulink.llm.chunks import ChunkEncoder
 
-#: Bytes of the words of one recursive query; ids of one decoding query.
-QUERY_BYTES, QUERY_IDS = 200_000, 1_000_000
+#: Rows that the rounds of one recursive query may keep, a word counting its
+#: length squared; ids of one decoding query; bytes of the cache of words.
+QUERY_ROWS, QUERY_IDS, CACHE_BYTES = 2_000_000, 250_000, 64_000_000
 #: A round keeps all tokens of its words, so the rows of a recursion grow with
 #: the square of a word's length; longer words are contracted one by one.
 LONGEST = 256
 
+#: ``place`` is the word's number in the upper and the position in the lower 32 bits.
 CONTRACT = """
-    WITH RECURSIVE part(word, pos, tok, done) AS (
-        SELECT word, pos, tok, false FROM start
+    WITH RECURSIVE part(place, tok, done) AS (
+        SELECT place, tok, false FROM start
         UNION ALL
-        SELECT word, pos, CASE WHEN pos = best & 4294967295 THEN best >> 32 ELSE tok END, best IS NULL
+        SELECT place, CASE WHEN place & 4294967295 = best & 4294967295 THEN (best >> 32)::INTEGER ELSE tok END, best IS NULL
         FROM (
-            SELECT p.*, min((m.rank << 32) | p.pos) OVER (PARTITION BY p.word) AS best
+            SELECT p.*, min((m.rank << 32) | (p.place & 4294967295)) OVER (PARTITION BY p.place >> 32) AS best
             FROM (
-                SELECT word, pos, tok, lead(tok) OVER w AS next_tok, lag(pos) OVER w AS last_pos
-                FROM part WHERE NOT done WINDOW w AS (PARTITION BY word ORDER BY pos)) p
-            LEFT JOIN merges m ON m.one = p.tok AND m.two = p.next_tok)
-        WHERE best IS NULL OR last_pos IS NULL OR last_pos <> best & 4294967295)
-    SELECT word, tok FROM part WHERE done ORDER BY word, pos"""
+                SELECT place, tok, lead(tok) OVER w AS next_tok, lead(place) OVER w AS next_place, lag(place) OVER w AS last_place
+                FROM part WHERE NOT done WINDOW w AS (ORDER BY place)) p
+            LEFT JOIN merges m ON m.one = p.tok AND m.two = p.next_tok AND p.next_place >> 32 = p.place >> 32)
+        WHERE best IS NULL OR last_place IS NULL OR last_place <> ((place >> 32) << 32) | (best & 4294967295))
+    SELECT place >> 32 AS word, tok FROM part WHERE done ORDER BY place"""
 
 DECODE = """
     SELECT text, string_agg(v.bytes, '' ORDER BY pos) AS bytes, count(*) - count(v.id) AS unknown
@@ -56,31 +58,43 @@ class Coder:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.pattern = regex.compile(pattern)
-        self.single = np.array([self.ranks[bytes([i])] for i in range(256)], np.int64)
+        self.single = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
         # spilling is off: a query's rows are bounded, and executors' folders stay clean
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "600MB", "temp_directory": ""})
-        merges = [(self.ranks[t[:k]], self.ranks[t[k:]], r) for t, r in self.ranks.items() for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks]
-        self._table("merges", dict(zip(("one", "two", "rank"), map(pa.array, zip(*merges, strict=True)), strict=True)))
-        # bytes travel as the characters of the same numbers
-        self._table("vocabulary", {"id": pa.array(list(self.ranks.values())), "bytes": pa.array([t.decode("latin-1") for t in self.ranks])})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
+        self.tables: set[str] = set()
+        self.known: dict[bytes, bytes] = {}
+        self.known_bytes = 0
         self.encode = ChunkEncoder(self._chunks)
 
     def _table(self, name: str, columns: dict) -> None:
         self.db.register("incoming", pa.table(columns))
         self.db.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM incoming")
         self.db.unregister("incoming")
+        self.tables.add(name)
+
+    def _merges(self) -> None:
+        merges = [(self.ranks[t[:k]], self.ranks[t[k:]], r) for t, r in self.ranks.items() for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks]
+        one, two, rank = np.array(merges).T
+        self._table("merges", {"one": one.astype(np.int32), "two": two.astype(np.int32), "rank": rank})
 
-    def _contract(self, words: list[bytes]) -> dict[bytes, list[int]]:
+    def _vocabulary(self) -> None:
+        # bytes travel as the characters of the same numbers
+        self._table("vocabulary", {"id": pa.array(list(self.ranks.values())), "bytes": pa.array([t.decode("latin-1") for t in self.ranks])})
+
+    def _contract(self, words: list[bytes]) -> list[bytes]:
+        """The ids of each word as little-endian unsigned 32-bit numbers."""
+        if "merges" not in self.tables:
+            self._merges()
         size = np.array([len(w) for w in words])
         raw = np.frombuffer(b"".join(words), np.uint8)
         pos = np.arange(len(raw)) - np.repeat(np.cumsum(size) - size, size)
-        self._table("start", {"word": pa.array(np.repeat(np.arange(len(words)), size)), "pos": pa.array(pos), "tok": pa.array(self.single[raw])})
+        self._table("start", {"place": (np.repeat(np.arange(len(words)), size) << 32) | pos, "tok": self.single[raw]})
         got = self.db.execute(CONTRACT).fetchnumpy()
-        at = np.searchsorted(got["word"], np.arange(len(words) + 1))
-        tok = got["tok"].tolist()
-        return {w: tok[a:z] for w, a, z in zip(words, at, at[1:], strict=False)}
+        at = (4 * np.searchsorted(got["word"], np.arange(len(words) + 1))).tolist()
+        ids = got["tok"].astype("<u4").tobytes()
+        return [ids[a:z] for a, z in zip(at, at[1:], strict=False)]
 
-    def _long(self, word: bytes) -> list[int]:
+    def _long(self, word: bytes) -> bytes:
         """The same contraction of one long word, pairs kept in a heap."""
         tok = [int(self.single[b]) for b in word]
         part = [bytes([b]) for b in word]
@@ -98,29 +112,38 @@ class Coder:
             for a in (before[i], i):
                 if a >= 0 and after[a] >= 0 and (rank := self.ranks.get(part[a] + part[after[a]])) is not None:
                     heapq.heappush(heap, (rank, a, part[a], part[after[a]]))
-        return [t for t in tok if t >= 0]
+        return np.array([t for t in tok if t >= 0], "<u4").tobytes()
+
+    def _learn(self, words: list[bytes]) -> None:
+        self.known.update(zip(words, self._contract(words), strict=True))
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
-        split = [[w.encode() for w in self.pattern.findall(c)] for c in chunks]
-        known: dict[bytes, list[int]] = {}
+        if self.known_bytes > CACHE_BYTES:
+            self.known.clear()
+            self.known_bytes = 0
+        findall, known = self.pattern.findall, self.known
+        split = [[w.encode() for w in findall(c)] for c in chunks]
         batch, load = [], 0
-        for w in {w: None for words in split for w in words}:
+        for w in {w: None for words in split for w in words if w not in known}:
+            self.known_bytes += 200 + 5 * len(w)  # a word, its ids and its entry, at most
             if (r := self.ranks.get(w)) is not None:
-                known[w] = [r]
+                known[w] = r.to_bytes(4, "little")
             elif len(w) > LONGEST:
                 known[w] = self._long(w)
             else:
                 batch.append(w)
-                load += len(w)
-                if load >= QUERY_BYTES:
-                    known |= self._contract(batch)
+                load += len(w) ** 2
+                if load >= QUERY_ROWS:
+                    self._learn(batch)
                     batch, load = [], 0
         if batch:
-            known |= self._contract(batch)
-        return [np.array([i for w in words for i in known[w]], "<u4").tobytes() for words in split]
+            self._learn(batch)
+        return [known[words[0]] if len(words) == 1 else b"".join([known[w] for w in words]) for words in split]
 
     def decode(self, ids: np.ndarray, starts: np.ndarray) -> list[bytes]:
         """The bytes of each text; its ids are ``ids[starts[i]:starts[i + 1]]``."""
+        if "vocabulary" not in self.tables:
+            self._vocabulary()
         out = [b""] * (len(starts) - 1)
         text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
         for at in range(0, len(ids), QUERY_IDS):
