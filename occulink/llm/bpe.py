@@ -17,12 +17,14 @@ from functools import lru_cache
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from occulink.llm.chunks import ChunkEncoder
+from occulink.llm.chunks import PART_BYTES, ChunkEncoder, parts
+from occulink.llm.words import text_column
 
 #: Rows that the rounds of one recursive query may keep, a word counting its
 #: length squared; ids of one decoding query; bytes of the cache of words.
@@ -94,7 +96,7 @@ class Coder:
         ids = got["tok"].astype("<u4").tobytes()
         return [ids[a:z] for a, z in zip(at, at[1:], strict=False)]
 
-    def _long(self, word: bytes) -> bytes:
+    def _long(self, word: bytes) -> list[int]:
         """The same contraction of one long word, pairs kept in a heap."""
         tok = [int(self.single[b]) for b in word]
         part = [bytes([b]) for b in word]
@@ -112,7 +114,7 @@ class Coder:
             for a in (before[i], i):
                 if a >= 0 and after[a] >= 0 and (rank := self.ranks.get(part[a] + part[after[a]])) is not None:
                     heapq.heappush(heap, (rank, a, part[a], part[after[a]]))
-        return np.array([t for t in tok if t >= 0], "<u4").tobytes()
+        return [t for t in tok if t >= 0]
 
     def _learn(self, words: list[bytes]) -> None:
         self.known.update(zip(words, self._contract(words), strict=True))
@@ -129,7 +131,7 @@ class Coder:
             if (r := self.ranks.get(w)) is not None:
                 known[w] = r.to_bytes(4, "little")
             elif len(w) > LONGEST:
-                known[w] = self._long(w)
+                known[w] = np.array(self._long(w), "<u4").tobytes()
             else:
                 batch.append(w)
                 load += len(w) ** 2
@@ -145,11 +147,10 @@ class Coder:
         if "vocabulary" not in self.tables:
             self._vocabulary()
         out = [b""] * (len(starts) - 1)
-        text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
         for at in range(0, len(ids), QUERY_IDS):
-            part = slice(at, at + QUERY_IDS)
-            n = len(ids[part])
-            self._table("ids", {"text": pa.array(text[part]), "pos": pa.array(np.arange(n)), "id": pa.array(ids[part].astype(np.int64))})
+            part = ids[at : at + QUERY_IDS].astype(np.int64)
+            pos = np.arange(at, at + len(part))
+            self._table("ids", {"text": np.searchsorted(starts, pos, "right") - 1, "pos": pos, "id": part})
             for i, s, unknown in self.db.execute(DECODE).fetchall():
                 if unknown:
                     raise ValueError("ids outside the vocabulary")
@@ -162,6 +163,19 @@ def coder(path: str, pattern: str) -> Coder:
     return Coder(path, pattern)
 
 
+def small_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of some ``PART_BYTES`` of text."""
+    for b in batches:
+        at = 0
+        for part in parts(pc.fill_null(text_column(b), ""), PART_BYTES):
+            yield b.slice(at, len(part))
+            at += len(part)
+
+
+def _listed(flat: np.ndarray, starts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(flat.astype(np.int32)))
+
+
 def encode(docs: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
     """``docs`` with the ids of each whole text in ``ids`` (array of int; replaced
     if it is there).  Null and empty texts have none; equal rows are encoded
@@ -170,11 +184,8 @@ def encode(docs: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFr
     docs = docs.drop(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            text = b.column(b.schema.names.index("text")).cast(pa.string())
-            flat, starts = coder(path, pattern).encode(text)
-            made = pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(flat.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([*b.columns, made], names=[*b.schema.names, ids])
+        for b in small_batches(batches):
+            yield pa.RecordBatch.from_arrays([*b.columns, _listed(*coder(path, pattern).encode(text_column(b)))], names=[*b.schema.names, ids])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))]))
 
@@ -199,8 +210,18 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids", column
 
 def digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of an encoding and its
-    decoding."""
-    both = decode(encode(docs.select("doc_id", "text"), path, pattern).select("doc_id", "ids"), path, pattern)
+    decoding, both in one pass over small parts.  Null and empty texts have no
+    ids and no bytes; repeated rows give repeated rows; an empty table none;
+    further columns are not read."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small_batches(batches):
+            ids, starts = coder(path, pattern).encode(text_column(b))
+            text = coder(path, pattern).decode(ids, starts)
+            yield pa.RecordBatch.from_arrays([b.column(0), _listed(ids, starts), pa.array(text, pa.binary())], names=["doc_id", "ids", "decoded"])
+
+    kinds = T._parse_datatype_string("ids array<int>, decoded binary")
+    both = docs.select("doc_id", "text").mapInArrow(run, T.StructType([docs.schema["doc_id"], *kinds.fields]))
     return both.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
