@@ -28,7 +28,7 @@ from occulink.llm.words import text_column
 
 #: Rows that the rounds of one recursive query may keep, a word counting its
 #: length squared; ids of one decoding query; bytes of the cache of words.
-QUERY_ROWS, QUERY_IDS, CACHE_BYTES = 2_000_000, 250_000, 64_000_000
+QUERY_ROWS, QUERY_IDS, CACHE_BYTES = 2_000_000, 250_000, 160_000_000
 #: A round keeps all tokens of its words, so the rows of a recursion grow with
 #: the square of a word's length; longer words are contracted one by one.
 LONGEST = 256
