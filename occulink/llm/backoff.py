@@ -1,10 +1,13 @@
 """Stupid-backoff language-model scores from n-gram count tables.
 
-Documents become rows (document, n-gram, times); a text's first words are padded
-in front.  The count table of the longest n-grams is one aggregation over the
-whole corpus, and those of shorter ones and of contexts follow from it.  Each
-distinct n-gram gets its score by joins with the count tables, all dealt by the
-hash of the n-gram, and documents sum the scores of their n-grams.
+Texts become blocks of words; a text's first words are padded in front.  A block
+holds the distinct n-grams of every length that occur in it, pre-counted, and sends
+them to the count table, which is dealt by ranges of the n-gram's hash: one row for
+each block and range, whose keys and counts are packed arrays, as a row for every
+n-gram takes several times the disk.  Each range sums its counts over all blocks,
+and a join by block brings them back to the n-grams that asked.  A context's count is
+that of its n-gram less the texts that end with it, so contexts need no rows of their
+own.  Blocks are scored by their counts and summed for each document.
 """
 
 from __future__ import annotations
@@ -14,13 +17,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from occulink.llm.common import stage
+from occulink.llm.common import ceil_div, stage
 from occulink.llm.jaccard import MIX, _scramble
 from occulink.llm.words import split_words, text_column, word_hashes
 
+#: Bytes of text of a block (more only by its last text) and words of the whole
+#: table for each range of the count tables.
+BLOCK_BYTES, RANGE_WORDS = 6_000_000, 1_500_000
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -28,57 +37,177 @@ class Settings:
     alpha: float = 0.4
 
 
-def _words(s: Settings, length: int) -> list[str]:
-    """The columns of an n-gram's last ``length`` words."""
-    return [f"w{k}" for k in range(s.order - length, s.order)]
+def _packed(x: np.ndarray) -> bytes:
+    """Integers as compressed bytes, those of equal weight together."""
+    raw = np.ascontiguousarray(x.astype(np.uint64).view(np.uint8).reshape(-1, 8).T)
+    return pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True)
+
+
+def _unpacked(raw: bytes, n: int) -> np.ndarray:
+    planes = pa.Codec("zstd").decompress(raw, decompressed_size=8 * n, asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, n).T).view(np.uint64).ravel()
 
 
-def gram_rows(docs: DataFrame, s: Settings, row: str = "__row") -> DataFrame:
-    """``row, gram, w0.., k``: distinct n-grams of each whole text and how often
-    each occurs; words are their hashes, 0 before the text."""
+def word_blocks(docs: DataFrame) -> DataFrame:
+    """The words of ``docs(doc_id, text)``, one row (``block``) for every
+    ``BLOCK_BYTES`` or so: ``n`` words, the texts' ids and numbers of words, the
+    hashes of the distinct words and each word's place among them."""
+    ids = docs.schema["doc_id"].dataType
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows, w = b.column(0).to_numpy(), split_words(text_column(b))
-            hashes = word_hashes(w.distinct)[w.codes]
-            for r, a, z in zip(rows, w.starts, w.starts[1:], strict=False):
-                if a == z:
-                    continue
-                padded = np.concatenate([np.zeros(s.order - 1, np.uint64), hashes[a:z]])
-                grams = np.zeros(z - a, np.uint64)
-                for k in range(s.order):
-                    grams = _scramble(grams * MIX + padded[k : k + len(grams)])
-                gram, at, times = np.unique(grams, return_index=True, return_counts=True)
-                cols = [pa.array(padded[at + k].view(np.int64)) for k in range(s.order)]
+            size = pc.fill_null(pc.binary_length(text_column(b)), 0).to_numpy(zero_copy_only=False)
+            number = (np.cumsum(size, dtype=np.int64) - size) // BLOCK_BYTES
+            starts = np.flatnonzero(np.diff(number, prepend=-1))
+            for a, z in zip(starts, [*starts[1:], b.num_rows], strict=True):
+                part = b.slice(a, z - a)
+                w = split_words(text_column(part))
+                width = np.uint16 if len(w.distinct) <= 1 << 16 else np.uint32
+                blobs = [w.lengths.astype(np.uint32), word_hashes(w.distinct), w.codes.astype(width)]
+                listed = pa.ListArray.from_arrays(pa.array([0, z - a], pa.int32()), part.column("doc_id"))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(gram), r)), pa.array(gram.view(np.int64)), *cols, pa.array(times.astype(np.int32))], names=["row", "gram", *_words(s, s.order), "k"]
+                    [part.column("block").slice(0, 1), pa.array([len(w.codes)], pa.int64()), listed, *(pa.array([x.tobytes()], pa.binary()) for x in blobs)],
+                    names=["block", "n", "ids", "lengths", "words", "codes"],
                 )
 
-    schema = "row long, gram long, " + ", ".join(f"{w} long" for w in _words(s, s.order)) + ", k int"
-    return docs.select(row, "text").mapInArrow(read, schema)
-
-
-def gram_scores(grams: DataFrame, counts: DataFrame, s: Settings, inside: bool) -> DataFrame:
-    """``gram, score`` of distinct ``grams``; ``counts`` is the table of the
-    longest n-grams with ``n``.  ``inside``: the grams come from the corpus, and
-    one occurrence, the scored one, is taken off every count."""
-    less, out, score = int(inside), grams, F.lit(None).cast("double")
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    table = counts
-    for length in range(s.order, 0, -1):
-        words = _words(s, length)
-        if length < s.order:
-            table = stage(table.groupBy(*words).agg(F.sum("n").alias("n")), f"counts-{length}")
-        out = out.join(table.select(*words, F.col("n").alias(f"n{length}")), words, "left")
-        seen: Column = F.coalesce(F.col(f"n{length}"), F.lit(0)) - less
-        if length > 1:
-            context = table.groupBy(*words[:-1]).agg(F.sum("n").alias(f"c{length}"))
-            out = out.join(context, words[:-1], "left")
-            part = F.when(seen > 0, seen / (F.col(f"c{length}") - less))
-        else:  # a word seen nowhere else counts once
-            part = F.greatest(seen, F.lit(1)) / F.lit(float(max(total, 1)))
-        score = F.coalesce(score, part * F.lit(s.alpha ** (s.order - length)))
-    return out.select("gram", score.alias("score"))
+    kinds = [T.StructField("block", T.LongType()), T.StructField("n", T.LongType()), T.StructField("ids", T.ArrayType(ids))]
+    blobs = [T.StructField(k, T.BinaryType()) for k in ("lengths", "words", "codes")]
+    return docs.select("doc_id", "text", F.monotonically_increasing_id().alias("block")).mapInArrow(read, T.StructType([*kinds, *blobs]))
+
+
+@dataclass
+class Grams:
+    """The n-grams of a block.  ``keys``: hashes of the distinct ones, ascending;
+    ``times``: how often each occurs; ``ends``: how often at the end of a text.
+    ``at[k]``: the place in ``keys`` of the n-gram of ``k`` words that ends with each
+    word, ``before[k]`` of the one that ends with the word before."""
+
+    lengths: np.ndarray
+    keys: np.ndarray
+    times: np.ndarray
+    ends: np.ndarray
+    at: dict[int, np.ndarray]
+    before: dict[int, np.ndarray]
+
+
+def block_grams(lengths: np.ndarray, hashes: np.ndarray, order: int) -> Grams:
+    """``hashes`` of the words of texts with ``lengths`` words each.  Before a
+    text stand words of hash 0; an n-gram of them alone occurs once a text."""
+    n, pad = len(hashes), order - 1
+    first = np.cumsum(lengths) - lengths
+    starts, lasts = first[lengths > 0], (first + lengths - 1)[lengths > 0]
+    place = np.arange(n) + pad * np.repeat(np.cumsum(lengths > 0), lengths)
+    padded = np.zeros(n + pad * len(starts), np.uint64)
+    padded[place] = hashes
+    parts = []
+    for k in range(1, order + 1):
+        h, blank = np.full(n, k, np.uint64), np.full(1, k, np.uint64)
+        for back in range(k - 1, -1, -1):
+            h = _scramble(h * MIX + padded[place - back])
+            blank = _scramble(blank * MIX)
+        parts += [h, blank]
+    keys, inverse = np.unique(np.concatenate(parts), return_inverse=True)
+    inverse = inverse.astype(np.int32)
+    times, ends = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+    at, before = {}, {}
+    for k in range(1, order + 1):
+        a = (k - 1) * (n + 1)
+        at[k] = inverse[a : a + n]
+        times += np.bincount(at[k], minlength=len(keys))
+        if k < order:
+            blank = inverse[a + n]
+            times[blank] += len(starts)
+            ends += np.bincount(at[k][lasts], minlength=len(keys))
+            before[k] = np.roll(at[k], 1)
+            before[k][starts] = blank
+    return Grams(lengths, keys, times, ends, at, before)
+
+
+def _grams(row: dict, order: int) -> Grams:
+    words = np.frombuffer(row["words"], np.uint64)
+    codes = np.frombuffer(row["codes"], np.uint16 if len(words) <= 1 << 16 else np.uint32)
+    return block_grams(np.frombuffer(row["lengths"], np.uint32).astype(np.int64), words[codes], order)
+
+
+def _ranges(keys: np.ndarray, ranges: int) -> np.ndarray:
+    """Where each of the ``ranges`` of hashes begins in ascending ``keys``, and the end."""
+    bounds = np.array([(r << 64) // ranges for r in range(ranges)], np.uint64)
+    return np.append(np.searchsorted(keys, bounds), len(keys))
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for b in batches:
+        for x in range(b.num_rows):
+            yield b.slice(x, 1).to_pylist()[0]
+
+
+def sent_grams(blocks: DataFrame, order: int, ranges: int, known: bool, asks: bool) -> DataFrame:
+    """``range, block, asks, size, keys, times, ends``: the distinct n-grams of each
+    block by range of their hash.  ``known``: their counts belong to the corpus;
+    ``asks``: the block waits for the corpus's counts."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            g = _grams(row, order)
+            starts = _ranges(g.keys, ranges)
+            for r in np.flatnonzero(np.diff(starts)):
+                part = slice(starts[r], starts[r + 1])
+                gaps = np.diff(g.keys[part], prepend=np.uint64(0))
+                counts = [_packed(x[part] if known else np.zeros(len(gaps))) for x in (g.times, g.ends)]
+                cells = [int(r), row["block"], asks, len(gaps), _packed(gaps), *counts]
+                yield pa.RecordBatch.from_pylist([dict(zip(schema.names, cells, strict=True))], schema)
+
+    schema = pa.schema([("range", pa.int32()), ("block", pa.int64()), ("asks", pa.bool_()), ("size", pa.int32()), ("keys", pa.binary()), ("times", pa.binary()), ("ends", pa.binary())])
+    return blocks.select("block", "lengths", "words", "codes").mapInArrow(send, "range int, block long, asks boolean, size int, keys binary, times binary, ends binary")
+
+
+def counted(sent: DataFrame) -> DataFrame:
+    """``block, counts``: for each range that a block has n-grams in, how often
+    they occur in the corpus and how often at the end of a text, in the order of
+    the block's keys."""
+
+    def count(group: pa.Table) -> pa.Table:
+        rows = group.select(["asks", "size", "keys", "times", "ends"]).to_pylist()
+        keys = np.concatenate([np.cumsum(_unpacked(r["keys"], r["size"]), dtype=np.uint64) for r in rows])
+        once, code = np.unique(keys, return_inverse=True)
+        del keys
+        sums = []
+        for kind in ("times", "ends"):
+            total = np.zeros(len(once), np.uint64)
+            at = 0
+            for r in rows:  # a block's keys are distinct
+                total[code[at : at + r["size"]]] += _unpacked(r[kind], r["size"])
+                at += r["size"]
+            sums.append(total)
+        out, at = {"times": [], "ends": []}, 0
+        for r in rows:
+            if r["asks"]:
+                for kind, total in zip(out, sums, strict=True):
+                    out[kind].append(_packed(total[code[at : at + r["size"]]]))
+            at += r["size"]
+        some = group.filter(group.column("asks"))
+        return pa.table({"block": some.column("block"), "range": some.column("range"), "times": pa.array(out["times"], pa.binary()), "ends": pa.array(out["ends"], pa.binary())})
+
+    replies = sent.groupBy("range").applyInArrow(count, "block long, range int, times binary, ends binary")
+    return replies.groupBy("block").agg(F.collect_list(F.struct("range", "times", "ends")).alias("counts"))
+
+
+def word_scores(g: Grams, times: np.ndarray, ends: np.ndarray, total: int, s: Settings, inside: bool) -> np.ndarray:
+    """The score of each word of a block by the corpus's counts of its n-grams.
+    ``inside``: the words come from the corpus, and one occurrence, the scored
+    one, is taken off every count."""
+    less, longest = int(inside), s.order
+    score = np.zeros(len(g.at[1]))
+    left = np.ones(len(score), bool)
+    for k in range(longest, 1, -1):
+        seen = times[g.at[k]] - less
+        hit = left & (seen > 0)
+        context = g.before[k - 1][hit]
+        score[hit] = s.alpha ** (longest - k) * seen[hit] / (times[context] - ends[context] - less)
+        left &= ~hit
+    # a word seen nowhere else counts once
+    score[left] = s.alpha ** (longest - 1) * np.maximum(times[g.at[1][left]] - less, 1) / max(total, 1)
+    return score
 
 
 def backoff_scores(docs: DataFrame, corpus: DataFrame | None = None, settings: Settings = Settings()) -> DataFrame:
@@ -91,16 +220,31 @@ def backoff_scores(docs: DataFrame, corpus: DataFrame | None = None, settings: S
     have no words, a sum of 0 and no mean; repeated rows are documents of their
     own; an empty table gives no rows; further columns are not read.
     """
-    s = settings
-    numbered = stage(docs.select("doc_id", "text").withColumn("__row", F.monotonically_increasing_id()), "lm-docs")
-    occurrences = stage(gram_rows(numbered, s), "lm-grams")
-    words = _words(s, s.order)
-    source = occurrences if corpus is None else gram_rows(corpus.select("text").withColumn("__row", F.lit(0).cast("long")), s)
-    counts = stage(source.groupBy("gram", *words).agg(F.sum("k").alias("n")), f"counts-{s.order}")
-    grams = counts.drop("n") if corpus is None else occurrences.select("gram", *words).distinct()
-    scores = stage(gram_scores(grams, counts, s, inside=corpus is None), "gram-scores")
-    summed = occurrences.select("row", "gram", "k").join(scores, "gram").groupBy("row").agg(F.sum("k").alias("n_words"), F.sum(F.col("k") * F.log("score")).alias("log_score"))
-    got = numbered.select(F.col("__row").alias("row"), "doc_id").join(summed, "row", "left")
-    return got.select(
-        "doc_id", F.coalesce("n_words", F.lit(0)).cast("long").alias("n_words"), F.round(F.coalesce("log_score", F.lit(0.0)), 6).alias("log_score"), F.round(F.col("log_score") / F.col("n_words"), 6).alias("mean_log")
-    )
+    s, inside = settings, corpus is None
+    blocks = stage(word_blocks(docs.select("doc_id", "text")), "lm-blocks")
+    others = blocks if inside else stage(word_blocks(corpus.select(F.lit(None).cast("long").alias("doc_id"), "text")), "lm-corpus")
+    total = others.agg(F.sum("n")).first()[0] or 0
+    words = total if inside else total + (blocks.agg(F.sum("n")).first()[0] or 0)
+    ranges = max(1, ceil_div(words, RANGE_WORDS))
+    sent = sent_grams(blocks, s.order, ranges, known=inside, asks=True)
+    if not inside:
+        sent = sent.unionAll(sent_grams(others, s.order, ranges, known=True, asks=False))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for x, row in enumerate(_rows([b.drop_columns(["ids"])])):
+                g = _grams(row, s.order)
+                starts = _ranges(g.keys, ranges)
+                times, ends = np.zeros((2, len(g.keys)), np.int64)
+                for c in row["counts"]:
+                    a, z = starts[c["range"]], starts[c["range"] + 1]
+                    times[a:z] = _unpacked(c["times"], z - a).view(np.int64)
+                    ends[a:z] = _unpacked(c["ends"], z - a).view(np.int64)
+                logs = np.log(word_scores(g, times, ends, total, s, inside))
+                sums = np.bincount(np.repeat(np.arange(len(g.lengths)), g.lengths), weights=logs, minlength=len(g.lengths))
+                yield pa.RecordBatch.from_arrays([b.column("ids")[x].values, pa.array(g.lengths), pa.array(sums)], names=["doc_id", "n_words", "log_sum"])
+
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("n_words", T.LongType()), T.StructField("log_sum", T.DoubleType())])
+    got = blocks.select("block", "ids", "lengths", "words", "codes").join(counted(sent), "block").mapInArrow(read, schema)
+    mean = F.when(F.col("n_words") > 0, F.round(F.col("log_sum") / F.col("n_words"), 6))
+    return got.select("doc_id", "n_words", F.round("log_sum", 6).alias("log_score"), mean.alias("mean_log"))
