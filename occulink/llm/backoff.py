@@ -22,13 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from occulink.llm.common import ceil_div, stage
+from occulink.llm.common import ceil_div, stage, stage_by_key
 from occulink.llm.jaccard import MIX, _scramble
 from occulink.llm.words import split_words, text_column, word_hashes
 
 #: Bytes of text of a block (more only by its last text) and words of the whole
 #: table for each range of the count tables.
-BLOCK_BYTES, RANGE_WORDS = 6_000_000, 1_500_000
+BLOCK_BYTES, RANGE_WORDS = 8_000_000, 1_500_000
 
 
 @dataclass(frozen=True)
@@ -38,20 +38,23 @@ class Settings:
 
 
 def _packed(x: np.ndarray) -> bytes:
-    """Integers as compressed bytes, those of equal weight together."""
+    """The number of integers and their compressed bytes, those of equal weight
+    together."""
     raw = np.ascontiguousarray(x.astype(np.uint64).view(np.uint8).reshape(-1, 8).T)
-    return pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True)
+    return len(x).to_bytes(8, "little") + pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True)
 
 
-def _unpacked(raw: bytes, n: int) -> np.ndarray:
-    planes = pa.Codec("zstd").decompress(raw, decompressed_size=8 * n, asbytes=True)
+def _unpacked(raw: bytes) -> np.ndarray:
+    n = int.from_bytes(raw[:8], "little")
+    planes = pa.Codec("zstd").decompress(raw[8:], decompressed_size=8 * n, asbytes=True)
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, n).T).view(np.uint64).ravel()
 
 
 def word_blocks(docs: DataFrame) -> DataFrame:
     """The words of ``docs(doc_id, text)``, one row (``block``) for every
     ``BLOCK_BYTES`` or so: ``n`` words, the texts' ids and numbers of words, the
-    hashes of the distinct words and each word's place among them."""
+    gaps between the ascending hashes of the distinct words and each word's place
+    among those."""
     ids = docs.schema["doc_id"].dataType
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,11 +65,11 @@ def word_blocks(docs: DataFrame) -> DataFrame:
             for a, z in zip(starts, [*starts[1:], b.num_rows], strict=True):
                 part = b.slice(a, z - a)
                 w = split_words(text_column(part))
-                width = np.uint16 if len(w.distinct) <= 1 << 16 else np.uint32
-                blobs = [w.lengths.astype(np.uint32), word_hashes(w.distinct), w.codes.astype(width)]
+                hashes, place = np.unique(word_hashes(w.distinct), return_inverse=True)
+                blobs = [w.lengths, np.diff(hashes, prepend=np.uint64(0)), place[w.codes]]
                 listed = pa.ListArray.from_arrays(pa.array([0, z - a], pa.int32()), part.column("doc_id"))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("block").slice(0, 1), pa.array([len(w.codes)], pa.int64()), listed, *(pa.array([x.tobytes()], pa.binary()) for x in blobs)],
+                    [part.column("block").slice(0, 1), pa.array([len(w.codes)], pa.int64()), listed, *(pa.array([_packed(x)], pa.binary()) for x in blobs)],
                     names=["block", "n", "ids", "lengths", "words", "codes"],
                 )
 
@@ -124,9 +127,8 @@ def block_grams(lengths: np.ndarray, hashes: np.ndarray, order: int) -> Grams:
 
 
 def _grams(row: dict, order: int) -> Grams:
-    words = np.frombuffer(row["words"], np.uint64)
-    codes = np.frombuffer(row["codes"], np.uint16 if len(words) <= 1 << 16 else np.uint32)
-    return block_grams(np.frombuffer(row["lengths"], np.uint32).astype(np.int64), words[codes], order)
+    words = np.cumsum(_unpacked(row["words"]), dtype=np.uint64)
+    return block_grams(_unpacked(row["lengths"]).view(np.int64), words[_unpacked(row["codes"]).view(np.int64)], order)
 
 
 def _ranges(keys: np.ndarray, ranges: int) -> np.ndarray:
@@ -142,7 +144,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 
 def sent_grams(blocks: DataFrame, order: int, ranges: int, known: bool, asks: bool) -> DataFrame:
-    """``range, block, asks, size, keys, times, ends``: the distinct n-grams of each
+    """``range, block, asks, keys, times, ends``: the distinct n-grams of each
     block by range of their hash.  ``known``: their counts belong to the corpus;
     ``asks``: the block waits for the corpus's counts."""
 
@@ -154,11 +156,11 @@ def sent_grams(blocks: DataFrame, order: int, ranges: int, known: bool, asks: bo
                 part = slice(starts[r], starts[r + 1])
                 gaps = np.diff(g.keys[part], prepend=np.uint64(0))
                 counts = [_packed(x[part] if known else np.zeros(len(gaps))) for x in (g.times, g.ends)]
-                cells = [int(r), row["block"], asks, len(gaps), _packed(gaps), *counts]
+                cells = [int(r), row["block"], asks, _packed(gaps), *counts]
                 yield pa.RecordBatch.from_pylist([dict(zip(schema.names, cells, strict=True))], schema)
 
-    schema = pa.schema([("range", pa.int32()), ("block", pa.int64()), ("asks", pa.bool_()), ("size", pa.int32()), ("keys", pa.binary()), ("times", pa.binary()), ("ends", pa.binary())])
-    return blocks.select("block", "lengths", "words", "codes").mapInArrow(send, "range int, block long, asks boolean, size int, keys binary, times binary, ends binary")
+    schema = pa.schema([("range", pa.int32()), ("block", pa.int64()), ("asks", pa.bool_()), ("keys", pa.binary()), ("times", pa.binary()), ("ends", pa.binary())])
+    return blocks.select("block", "lengths", "words", "codes").mapInArrow(send, "range int, block long, asks boolean, keys binary, times binary, ends binary")
 
 
 def counted(sent: DataFrame) -> DataFrame:
@@ -167,26 +169,20 @@ def counted(sent: DataFrame) -> DataFrame:
     the block's keys."""
 
     def count(group: pa.Table) -> pa.Table:
-        rows = group.select(["asks", "size", "keys", "times", "ends"]).to_pylist()
-        keys = np.concatenate([np.cumsum(_unpacked(r["keys"], r["size"]), dtype=np.uint64) for r in rows])
-        once, code = np.unique(keys, return_inverse=True)
-        del keys
+        rows = group.select(["asks", "keys", "times", "ends"]).to_pylist()
+        keys = [np.cumsum(_unpacked(r["keys"]), dtype=np.uint64) for r in rows]
+        last = np.cumsum([len(x) for x in keys])
+        spans = [slice(z - len(x), z) for x, z in zip(keys, last, strict=True)]
+        once, code = np.unique(np.concatenate(keys), return_inverse=True)
         sums = []
         for kind in ("times", "ends"):
             total = np.zeros(len(once), np.uint64)
-            at = 0
-            for r in rows:  # a block's keys are distinct
-                total[code[at : at + r["size"]]] += _unpacked(r[kind], r["size"])
-                at += r["size"]
+            for r, span in zip(rows, spans, strict=True):  # a block's keys are distinct
+                total[code[span]] += _unpacked(r[kind])
             sums.append(total)
-        out, at = {"times": [], "ends": []}, 0
-        for r in rows:
-            if r["asks"]:
-                for kind, total in zip(out, sums, strict=True):
-                    out[kind].append(_packed(total[code[at : at + r["size"]]]))
-            at += r["size"]
+        out = [pa.array([_packed(total[code[span]]) for r, span in zip(rows, spans, strict=True) if r["asks"]], pa.binary()) for total in sums]
         some = group.filter(group.column("asks"))
-        return pa.table({"block": some.column("block"), "range": some.column("range"), "times": pa.array(out["times"], pa.binary()), "ends": pa.array(out["ends"], pa.binary())})
+        return pa.table([some.column("block"), some.column("range"), *out], ["block", "range", "times", "ends"])
 
     replies = sent.groupBy("range").applyInArrow(count, "block long, range int, times binary, ends binary")
     return replies.groupBy("block").agg(F.collect_list(F.struct("range", "times", "ends")).alias("counts"))
@@ -221,7 +217,7 @@ def backoff_scores(docs: DataFrame, corpus: DataFrame | None = None, settings: S
     own; an empty table gives no rows; further columns are not read.
     """
     s, inside = settings, corpus is None
-    blocks = stage(word_blocks(docs.select("doc_id", "text")), "lm-blocks")
+    blocks = stage_by_key(word_blocks(docs.select("doc_id", "text")), "lm_blocks", "block")
     others = blocks if inside else stage(word_blocks(corpus.select(F.lit(None).cast("long").alias("doc_id"), "text")), "lm-corpus")
     total = others.agg(F.sum("n")).first()[0] or 0
     words = total if inside else total + (blocks.agg(F.sum("n")).first()[0] or 0)
@@ -238,13 +234,13 @@ def backoff_scores(docs: DataFrame, corpus: DataFrame | None = None, settings: S
                 times, ends = np.zeros((2, len(g.keys)), np.int64)
                 for c in row["counts"]:
                     a, z = starts[c["range"]], starts[c["range"] + 1]
-                    times[a:z] = _unpacked(c["times"], z - a).view(np.int64)
-                    ends[a:z] = _unpacked(c["ends"], z - a).view(np.int64)
+                    times[a:z] = _unpacked(c["times"]).view(np.int64)
+                    ends[a:z] = _unpacked(c["ends"]).view(np.int64)
                 logs = np.log(word_scores(g, times, ends, total, s, inside))
                 sums = np.bincount(np.repeat(np.arange(len(g.lengths)), g.lengths), weights=logs, minlength=len(g.lengths))
                 yield pa.RecordBatch.from_arrays([b.column("ids")[x].values, pa.array(g.lengths), pa.array(sums)], names=["doc_id", "n_words", "log_sum"])
 
     schema = T.StructType([docs.schema["doc_id"], T.StructField("n_words", T.LongType()), T.StructField("log_sum", T.DoubleType())])
-    got = blocks.select("block", "ids", "lengths", "words", "codes").join(counted(sent), "block").mapInArrow(read, schema)
+    got = blocks.select("block", "ids", "lengths", "words", "codes").join(counted(sent).hint("merge"), "block").mapInArrow(read, schema)
     mean = F.when(F.col("n_words") > 0, F.round(F.col("log_sum") / F.col("n_words"), 6))
     return got.select("doc_id", "n_words", F.round("log_sum", 6).alias("log_score"), mean.alias("mean_log"))
