@@ -40,15 +40,17 @@ def stage(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def stage_by_key(df: DataFrame, name: str, key: str) -> DataFrame:
+def stage_by_key(df: DataFrame, name: str, key: str, deal: bool = False) -> DataFrame:
     """As ``stage``, in buckets by ``key``, one for each shuffle partition: joins and
     groups by the key do not move these rows.  (Files know no buckets, tables do;
-    the table's name is given up at once, its files stay.)"""
+    the table's name is given up at once, its files stay.)  ``deal``: rows are
+    dealt by the key first, so that a task with many keys writes one file."""
     spark = df.sparkSession
     table = f"occulink_llm_{name}_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     path = f"{shared_dir(spark)}/occulink-llm/{table}"
-    df.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(buckets, key).saveAsTable(table)
+    dealt = df.repartition(buckets, key) if deal else df
+    dealt.write.format("parquet").option("compression", "zstd").option("path", path).bucketBy(buckets, key).saveAsTable(table)
     kept = spark.table(table)
     spark.sql(f"DROP TABLE {table}")
     return kept

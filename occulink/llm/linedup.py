@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from occulink.llm.common import ceil_div, stage
+from occulink.llm.common import ceil_div, stage, stage_by_key
 from occulink.llm.jaccard import MIX, _scramble
 
 LINE_END = re.compile(r"[.!?…\n](?:(?<=\n)\n*|(?<!\n)[ \t]+)")  # only the ends of matches count
@@ -284,7 +284,7 @@ def _candidates(hashes: np.ndarray, begins: np.ndarray, finishes: np.ndarray, wo
 def chunk_rows(numbered: DataFrame, rules: Rules) -> DataFrame:
     """``doc_id, row, at, begin, finish, hash`` of the chunks and shortest runs of
     all texts (blank ones have none) that may occur again: each line does."""
-    blocks = stage(line_tables(numbered), "line-blocks")
+    blocks = stage_by_key(line_tables(numbered), "line_blocks", "block")
     buckets = ceil_div(blocks.agg(F.sum("n")).first()[0] or 1, BUCKET_LINES)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,7 +307,7 @@ def chunk_rows(numbered: DataFrame, rules: Rules) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([b.column("ids")[x].values.take(pa.array(text[part])), pa.array(rows[text[part]]), *made], names=["doc_id", "row", "at", "begin", "finish", "hash"])
 
     kinds = T._parse_datatype_string("row long, at int, begin int, finish int, hash long")
-    return blocks.drop("n").join(repeated_lines(blocks, buckets), "block").mapInArrow(cut, T.StructType([numbered.schema["doc_id"], *kinds.fields]))
+    return blocks.drop("n").join(repeated_lines(blocks, buckets).hint("merge"), "block").mapInArrow(cut, T.StructType([numbered.schema["doc_id"], *kinds.fields]))
 
 
 def _edge(text: str, chunk: tuple[int, int, str] | None) -> tuple[str, list[int], list[int]]:
@@ -396,7 +396,7 @@ def remove_repeats(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     documents of their own, and any further columns are passed on.
     """
     docs = docs.drop("__row", "__gone", "removed_chunks", "removed_chars")
-    numbered = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "line-docs")
+    numbered = stage_by_key(docs.withColumn("__row", F.monotonically_increasing_id()), "line_docs", "__row", deal=True)
     cut = stage(chunk_rows(numbered, rules), "line-chunks")
     again = (
         cut.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "row", "at", "finish")).alias("one")).where("n > 1").select("hash", *(F.col(f"one.{k}").alias(f"one_{k}") for k in ("row", "at", "finish")))
