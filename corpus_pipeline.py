@@ -3,10 +3,18 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; all but the
 last return the columns of ``documents``.  A stage's result is written as
 Parquet in the shared checkpoint folder and read again as the next one's input.
+
+Odd rows: null and empty texts are documents like others (the classifiers score
+them; near copies of each other, one of them stays; each packs to its closing id).
+Repeated rows and rows with a null id are judged one by one.  An empty table gives
+none.  Columns besides ``doc_id``, ``text`` and ``n_chars`` are passed on as they
+are, whatever their names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,36 +25,47 @@ from occulink.llm.linedup import EVERY, remove_repeats
 from occulink.llm.packing import pack
 
 
+def _beside(docs: DataFrame, function: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``function`` keeps of ``docs``; it sees the columns that it does not use
+    under names that clash with none of its own."""
+    names = [c if c in ("doc_id", "text", "n_chars") else f"other_{i}" for i, c in enumerate(docs.columns)]
+    return function(docs.toDF(*names)).select(*names).toDF(*docs.columns)
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier keeps."""
-    return keep_good(docs, table(spark, sf_dir, "labels"))
+    return _beside(docs, lambda d: keep_good(d, table(spark, sf_dir, "labels")))
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier keeps."""
-    return keep_clean(docs, table(spark, sf_dir, "labels"))
+    return _beside(docs, lambda d: keep_clean(d, table(spark, sf_dir, "labels")))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents without repeated passages; ``n_chars`` follows the text of
     those that lost one."""
-    cut = remove_repeats(docs, EVERY)
-    if "n_chars" in docs.columns:
-        size = F.when(F.col("removed_chunks") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
-        cut = cut.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType))
-    return cut.select(*docs.columns)
+
+    def cut(d: DataFrame) -> DataFrame:
+        out = remove_repeats(d, EVERY)
+        if "n_chars" in d.columns:
+            size = F.when(F.col("removed_chunks") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
+            out = out.withColumn("n_chars", size.cast(d.schema["n_chars"].dataType))
+        return out
+
+    return _beside(docs, cut)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
-    return one_of_each_group(docs)
+    return _beside(docs, one_of_each_group)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents, packed into windows."""
     import public_tokenizers
 
-    return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(docs.select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 STAGES = [("quality", quality), ("toxicity", toxicity), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates), ("packing", packing)]
