@@ -1,0 +1,77 @@
+"""Each code form and each pair fact is worked out once a row, with the same results."""
+
+from pyspark.sql import functions as F
+
+from occulink.functions import identifiers as I
+from occulink.operators import blocking, facts, relate, rules
+
+FIELDS = ("occurrenceID", "recordNumber", "fieldNumber", "catalogNumber", "institutionCode", "collectionCode")
+VALUES = (None, "", "s.n.", "-", "A:b", "ß-1", "12", " 1e5 ", "No Data", "x", "Dā 7")
+OTHERS = (None, [], [None, "Cat. 12", "x", "9"], ["Cat#ab-c", "", "1e3"], ["Cat. No Data"])
+
+
+def _codes(spark):
+    rows = []
+    for i in range(60):
+        picked = [VALUES[(i * (2 * j + 3) + j) % len(VALUES)] for j in range(len(FIELDS))]
+        rows.append((*picked, OTHERS[i % len(OTHERS)]))
+    schema = ", ".join(f"{f} string" for f in FIELDS) + ", otherCatalogNumbers array<string>"
+    return spark.createDataFrame(rows, schema)
+
+
+def _expected():
+    ic, cc, cn, oc = "institutionCode", "collectionCode", "catalogNumber", "otherCatalogNumbers"
+    out = [I.hash_or_null(f, n) for n in (True, False) for f in FIELDS[:4]]
+    for atoms in ((ic, cc, cn), (ic, cn)):
+        bare = I.concat_if_eligible("", *atoms)
+        keep = I.is_eligible_normalized(bare)
+        out += [F.when(keep, I.concat_if_eligible(":", *atoms)), F.when(keep, bare)]
+    out += [I.codes_and_ids(*FIELDS, oc, allow_numeric=n, separators=s) for n in (True, False) for s in (True, False)]
+    args = ("occurrenceID", "fieldNumber", "recordNumber", cn, ic, cc, oc)
+    return out + [I.identifier_set(*args), I.catalog_code(ic, cc, cn), I.other_catalog_codes(oc)]
+
+
+def _prepared():
+    out = I.single_codes(True) + I.single_codes(False)
+    for kept, bare in zip(I.joined_codes(True), I.joined_codes(False)):
+        out += [kept, bare]
+    out += [blocking._codes(n, s) for n in (True, False) for s in (True, False)]
+    others = F.array_except("_catalog_others", F.array(F.lit(None).cast("string")))
+    return out + [I.prepared_identifier_set(), I.prepared_catalog_code(), others]
+
+
+def test_prepared_forms_equal_single_ones(spark):
+    df = _codes(spark)
+    want = df.select(*[c.alias(f"c{i}") for i, c in enumerate(_expected())]).collect()
+    got = I.with_codes(df).select(*[c.alias(f"c{i}") for i, c in enumerate(_prepared())]).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_codes_are_cleaned_once_a_row(spark):
+    df = _codes(spark).select("*", F.lit("1").alias("gbifId"), F.lit("d").alias("datasetKey"))
+    sets = _plan(blocking.with_code_sets(df))
+    assert 0 < sets.count("translate(") <= 8
+
+
+def test_bitmap_is_read_in_place(spark):
+    rows = spark.range(3000).selectExpr("cast(id as string) gbifId", "'d' datasetKey", "cast(id % 2500 as string) hash")
+    assert blocking.repeated_bitmap(rows, 1 << 16).schema["repeated"].dataType.simpleString() == "array<int>"
+    kept = {r.hash for r in blocking.prefilter_hashes(rows, 1 << 16).collect()}
+    assert {str(i) for i in range(500)} <= kept and len(kept) < 1000
+
+
+def test_distance_of_a_pair_is_worked_out_once_for_all_rules(spark):
+    schema = "gbifId string, datasetKey string, speciesKey string, taxonKey string, scientificName string, decimalLatitude double, decimalLongitude double, countryCode string, year int, month int, day int, eventDate string, ymd date, ids array<string>, catalogCode string, otherCodes array<string>, recorders array<string>, hasHolotype boolean, hasType boolean, sequenceRepository boolean, ruleSpecimen boolean"
+    feats = spark.createDataFrame([(str(i), f"d{i}", "s", "s", "n", 1.0, 1.0 + i / 1000, None, 2000, 1, 1, "2000-01-01", None, ["A"], None, None, None, False, False, False, False) for i in range(3)], schema)
+    pairs = spark.createDataFrame([("0", "d0", "1", "d1"), ("1", "d1", "2", "d2")], "id1 string, ds1 string, id2 string, ds2 string")
+    paired = relate.attach_records(pairs, feats)
+    rel = relate.related_pairs(paired)
+    a, b = facts.sides()
+    found = facts.all_facts(a, b)
+    want = paired.where(rules.related(found, a, b)).select("id1", "id2", facts.reasons(found), "ds1", "ds2")
+    assert sorted(map(tuple, rel.collect())) == sorted(map(tuple, want.collect())) != []
+    assert _plan(rel).upper().count("ATAN2") <= 2 < _plan(want).upper().count("ATAN2")
