@@ -61,7 +61,10 @@ def split_chunks(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     codes[first] = len(pieces) + np.arange(n)
     keep = np.ones(len(codes), bool)
     keep[first[lead]] = False
-    keep &= ~np.isin(rows, whole)
+    if len(whole):
+        is_whole = np.zeros(n, bool)
+        is_whole[whole] = True
+        keep &= ~is_whole[rows]
     codes, rows = codes[keep], rows[keep]
     if len(whole):
         codes = np.concatenate([codes, len(pieces) + n + np.arange(len(whole))])
@@ -75,8 +78,9 @@ class ChunkEncoder:
     """Ids of whole texts by ``encode``, which maps chunks to their ids as
     little-endian unsigned 32-bit numbers."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], part_bytes: int = PART_BYTES) -> None:
-        self.encode, self.part_bytes, self.cache = encode, part_bytes, {}
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], part_bytes: int = PART_BYTES, cached: bool = True) -> None:
+        """Not ``cached``: ``encode`` itself remembers what it has met."""
+        self.encode, self.part_bytes, self.cached, self.cache = encode, part_bytes, cached, {}
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the batch and where each text's ids start."""
@@ -88,13 +92,21 @@ class ChunkEncoder:
     def _part(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         chunks, codes, starts = split_chunks(texts)
         used = np.flatnonzero(np.bincount(codes, minlength=len(chunks)))
-        wanted = [chunks[c] for c in used]
         if len(self.cache) > CACHE_CHUNKS:
             self.cache.clear()
-        new = list({c: None for c in wanted if c not in self.cache})
-        fresh = dict(zip(new, self.encode(new), strict=True)) if new else {}
-        ids = [fresh[c] if c in fresh else self.cache[c] for c in wanted]
-        self.cache.update((c, b) for c, b in fresh.items() if len(c) <= 64)
+        wanted = [chunks[c] for c in used.tolist()]
+        if self.cached:
+            ids = list(map(self.cache.get, wanted))
+            unknown = [i for i, b in enumerate(ids) if b is None]
+            new = list(dict.fromkeys([wanted[i] for i in unknown]))
+            fresh = dict(zip(new, self.encode(new), strict=True)) if new else {}
+            for i in unknown:
+                ids[i] = fresh[wanted[i]]
+            self.cache.update({c: b for c, b in fresh.items() if len(c) <= 64})
+        else:
+            fresh = dict.fromkeys(wanted)
+            fresh = dict(zip(fresh, self.encode(list(fresh)), strict=True))
+            ids = [fresh[c] for c in wanted]
         flat = np.frombuffer(b"".join(ids), "<u4")
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         begin = np.concatenate([[0], np.cumsum(size)])

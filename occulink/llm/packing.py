@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from occulink.llm.chunks import CACHE_CHUNKS, ChunkEncoder
+from occulink.llm.chunks import ChunkEncoder
 from occulink.llm.common import ceil_div, stage
 from occulink.llm.words import text_column
 
@@ -37,6 +37,8 @@ WINDOW, END_ID = 2048, 1
 BUCKET_ROWS = 20_000
 #: Chunks that the tokenizer gets as one text.
 TOGETHER = 2_000
+#: Words whose ids a worker keeps before it forgets them all.
+KNOWN_WORDS = 600_000
 #: Below it (Latin, Greek, Cyrillic) Python and the tokenizer agree on what a letter is.
 BEYOND = "\u0530"
 
@@ -76,14 +78,12 @@ def encoder(path: str) -> ChunkEncoder:
     for token, i in t.get_vocab(with_added_tokens=False).items():
         size[i] = len(token)
 
-    model, known = t.model, {}
+    tokenize, known = t.model.tokenize, {}
 
     def match(written: str) -> bytes:
         """Ids of one match of the word pattern, its bytes written as characters."""
-        if (ids := known.get(written)) is None:
-            found = [x.id for x in model.tokenize(written)]
-            ids = known[written] = struct.pack(f"<{len(found)}I", *found)
-        return ids
+        found = [x.id for x in tokenize(written)]
+        return struct.pack(f"<{len(found)}I", *found)
 
     def alone(chunk: str) -> bytes:
         return np.array(t.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
@@ -95,12 +95,19 @@ def encoder(path: str) -> ChunkEncoder:
         bytes end."""
         out = [b""] * len(chunks)
         run = []
-        if len(known) > CACHE_CHUNKS:
+        if len(known) > KNOWN_WORDS:
             known.clear()
         for i, c in enumerate(chunks):
             core = c[1:].rstrip(PUNCTUATION)
-            if c[:1] == " " and core.isalpha() and (core.isascii() or max(core) < BEYOND):
-                out[i] = match("Ġ" + _written(core)) + (match(c[len(core) + 1 :]) if len(core) + 1 < len(c) else b"")
+            if c[:1] == " " and ((ids := known.get(core)) or (core.isalpha() and (core.isascii() or max(core) < BEYOND))):
+                if not ids:
+                    ids = known[core] = match("Ġ" + _written(core))
+                if len(core) + 1 < len(c):
+                    end = c[len(core) + 1 :]  # never a core: those end otherwise
+                    if (more := known.get(end)) is None:
+                        more = known[end] = match(end)
+                    ids += more
+                out[i] = ids
             elif len(c) > 1 and c[0] == " " and not c[1].isspace() and not c[-1].isspace():
                 run.append(i)
             else:
@@ -119,7 +126,7 @@ def encoder(path: str) -> ChunkEncoder:
                 begin = end
         return out
 
-    return ChunkEncoder(encode, PART_BYTES)
+    return ChunkEncoder(encode, PART_BYTES, cached=False)
 
 
 def tokenised(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
