@@ -13,6 +13,7 @@ import base64
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import duckdb
 import numpy as np
@@ -28,7 +29,7 @@ from occulink.llm.words import text_column
 
 #: Rows that the rounds of one recursive query may keep, a word counting its
 #: length squared; ids of one decoding query; bytes of the cache of words.
-QUERY_ROWS, QUERY_IDS, CACHE_BYTES = 2_000_000, 250_000, 160_000_000
+QUERY_ROWS, QUERY_IDS, CACHE_BYTES = 4_000_000, 250_000, 160_000_000
 #: A round keeps all tokens of its words, so the rows of a recursion grow with
 #: the square of a word's length; longer words are contracted one by one.
 LONGEST = 256
@@ -64,7 +65,7 @@ class Coder:
         # spilling is off: a query's rows are bounded, and executors' folders stay clean
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         self.tables: set[str] = set()
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[str, bytes] = {}
         self.known_bytes = 0
         self.encode = ChunkEncoder(self._chunks)
 
@@ -81,7 +82,7 @@ class Coder:
 
     def _vocabulary(self) -> None:
         # bytes travel as the characters of the same numbers
-        self._table("vocabulary", {"id": pa.array(list(self.ranks.values())), "bytes": pa.array([t.decode("latin-1") for t in self.ranks])})
+        self._table("vocabulary", {"id": pa.array(list(self.ranks.values()), pa.int32()), "bytes": pa.array([t.decode("latin-1") for t in self.ranks])})
 
     def _contract(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word as little-endian unsigned 32-bit numbers."""
@@ -116,28 +117,35 @@ class Coder:
                     heapq.heappush(heap, (rank, a, part[a], part[after[a]]))
         return [t for t in tok if t >= 0]
 
-    def _learn(self, words: list[bytes]) -> None:
-        self.known.update(zip(words, self._contract(words), strict=True))
+    def _learn(self, words: list[tuple[str, bytes]]) -> None:
+        self.known.update(zip([w for w, _ in words], self._contract([raw for _, raw in words]), strict=True))
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
         if self.known_bytes > CACHE_BYTES:
             self.known.clear()
             self.known_bytes = 0
         findall, known = self.pattern.findall, self.known
-        split = [[w.encode() for w in findall(c)] for c in chunks]
-        batch, load = [], 0
-        for w in {w: None for words in split for w in words if w not in known}:
-            self.known_bytes += 200 + 5 * len(w)  # a word, its ids and its entry, at most
-            if (r := self.ranks.get(w)) is not None:
+        split = [findall(c) for c in chunks]
+        new = []
+        for w in dict.fromkeys(chain.from_iterable(split)):
+            if w in known:
+                continue
+            raw = w.encode()
+            self.known_bytes += 200 + 5 * len(raw)  # a word, its ids and its entry, at most
+            if (r := self.ranks.get(raw)) is not None:
                 known[w] = r.to_bytes(4, "little")
-            elif len(w) > LONGEST:
-                known[w] = np.array(self._long(w), "<u4").tobytes()
+            elif len(raw) > LONGEST:
+                known[w] = np.array(self._long(raw), "<u4").tobytes()
             else:
-                batch.append(w)
-                load += len(w) ** 2
-                if load >= QUERY_ROWS:
-                    self._learn(batch)
-                    batch, load = [], 0
+                new.append((w, raw))
+        new.sort(key=lambda x: len(x[1]))  # words of a length need about the same rounds
+        batch, load = [], 0
+        for x in new:
+            batch.append(x)
+            load += len(x[1]) ** 2
+            if load >= QUERY_ROWS:
+                self._learn(batch)
+                batch, load = [], 0
         if batch:
             self._learn(batch)
         return [known[words[0]] if len(words) == 1 else b"".join([known[w] for w in words]) for words in split]
@@ -148,9 +156,9 @@ class Coder:
             self._vocabulary()
         out = [b""] * (len(starts) - 1)
         for at in range(0, len(ids), QUERY_IDS):
-            part = ids[at : at + QUERY_IDS].astype(np.int64)
-            pos = np.arange(at, at + len(part))
-            self._table("ids", {"text": np.searchsorted(starts, pos, "right") - 1, "pos": pos, "id": part})
+            part = ids[at : at + QUERY_IDS].astype(np.int32)
+            pos = np.arange(len(part), dtype=np.int32)
+            self._table("ids", {"text": (np.searchsorted(starts, pos + at, "right") - 1).astype(np.int32), "pos": pos, "id": part})
             for i, s, unknown in self.db.execute(DECODE).fetchall():
                 if unknown:
                     raise ValueError("ids outside the vocabulary")
