@@ -1,10 +1,10 @@
 """Byte-level BPE by recursive DuckDB queries inside each partition.
 
-A batch's distinct words become rows (word, position, token).  One recursive
-query joins neighbouring tokens with the merge table and contracts each word's
-leftmost pair of least rank, round by round, until no pair of any word is in the
-table.  Decoding joins ids with the vocabulary and concatenates in an ordered
-aggregation.
+A batch's distinct words become rows, each word's tokens a string of one character
+a token.  One recursive query joins the words' pairs of neighbours with the merge
+table and contracts each word's leftmost pair of least rank, round by round, until
+no pair of any word is in the table.  Decoding looks all ids up in the vocabulary at
+once; a text's bytes then follow each other in the order of its ids.
 """
 
 from __future__ import annotations
@@ -27,31 +27,38 @@ from pyspark.sql import types as T
 from occulink.llm.chunks import PART_BYTES, ChunkEncoder, parts
 from occulink.llm.words import text_column
 
-#: Rows that the rounds of one recursive query may keep, a word counting its
-#: length squared; ids of one decoding query; bytes of the cache of words.
-QUERY_ROWS, QUERY_IDS, CACHE_BYTES = 4_000_000, 250_000, 160_000_000
-#: A round keeps all tokens of its words, so the rows of a recursion grow with
+#: Tokens that the rounds of one recursive query may keep, a word counting its
+#: length squared; bytes of the cache of words, both halves together.
+QUERY_ROWS, CACHE_BYTES = 4_000_000, 240_000_000
+#: A round keeps all tokens of its words, so the tokens of a recursion grow with
 #: the square of a word's length; longer words are contracted one by one.
 LONGEST = 256
 
-#: ``place`` is the word's number in the upper and the position in the lower 32 bits.
+#: ``best``: the new token's character in the upper bits, the pair's place in the lower 16.
 CONTRACT = """
-    WITH RECURSIVE part(place, tok, done) AS (
-        SELECT place, tok, false FROM start
+    WITH RECURSIVE part(word, toks) AS (
+        SELECT word, toks FROM start
         UNION ALL
-        SELECT place, CASE WHEN place & 4294967295 = best & 4294967295 THEN (best >> 32)::INTEGER ELSE tok END, best IS NULL
+        SELECT word, left(toks, CAST(best & 65535 AS INTEGER) - 1) || chr(CAST(best >> 16 AS INTEGER)) || substring(toks, CAST(best & 65535 AS INTEGER) + 2)
         FROM (
-            SELECT p.*, min((m.rank << 32) | (p.place & 4294967295)) OVER (PARTITION BY p.place >> 32) AS best
-            FROM (
-                SELECT place, tok, lead(tok) OVER w AS next_tok, lead(place) OVER w AS next_place, lag(place) OVER w AS last_place
-                FROM part WHERE NOT done WINDOW w AS (ORDER BY place)) p
-            LEFT JOIN merges m ON m.one = p.tok AND m.two = p.next_tok AND p.next_place >> 32 = p.place >> 32)
-        WHERE best IS NULL OR last_place IS NULL OR last_place <> ((place >> 32) << 32) | (best & 4294967295))
-    SELECT place >> 32 AS word, tok FROM part WHERE done ORDER BY place"""
+            SELECT word, any_value(toks) AS toks, min((m.made << 16) | p.place) AS best
+            FROM (SELECT word, toks, unnest(range(1, length(toks))) AS place FROM part) p
+            JOIN merges m ON m.pair = substring(p.toks, p.place, 2)
+            GROUP BY word))
+    SELECT arg_min(toks, length(toks)) AS toks FROM part GROUP BY word ORDER BY word"""
 
-DECODE = """
-    SELECT text, string_agg(v.bytes, '' ORDER BY pos) AS bytes, count(*) - count(v.id) AS unknown
-    FROM ids LEFT JOIN vocabulary v ON v.id = ids.id GROUP BY text"""
+#: Tokens' characters leave out 0 and the range of surrogates, which strings cannot hold.
+LOW, GAP = 0xD800, 0x800
+
+
+def _characters(ids: np.ndarray) -> np.ndarray:
+    """The code point of each id's character; it grows with the id."""
+    points = ids.astype(np.uint32) + np.uint32(1)
+    return np.where(points < LOW, points, points + np.uint32(GAP)).astype("<u4")
+
+
+def _ids(points: np.ndarray) -> np.ndarray:
+    return (np.where(points < LOW, points, points - np.uint32(GAP)) - np.uint32(1)).astype("<u4")
 
 
 class Coder:
@@ -62,12 +69,16 @@ class Coder:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.pattern = regex.compile(pattern)
         self.single = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
+        self.vocabulary: pa.Array | None = None
         # spilling is off: a query's rows are bounded, and executors' folders stay clean
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "300MB", "temp_directory": ""})
         self.tables: set[str] = set()
+        #: Ids of words that the pattern gives as they are, met of late and before:
+        #: as a chunk of its own such a word has the same ids.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.known_bytes = 0
-        self.encode = ChunkEncoder(self._chunks)
+        self.encode = ChunkEncoder(self._chunks, cached=False)
 
     def _table(self, name: str, columns: dict) -> None:
         self.db.register("incoming", pa.table(columns))
@@ -77,24 +88,20 @@ class Coder:
 
     def _merges(self) -> None:
         merges = [(self.ranks[t[:k]], self.ranks[t[k:]], r) for t, r in self.ranks.items() for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks]
-        one, two, rank = np.array(merges).T
-        self._table("merges", {"one": one.astype(np.int32), "two": two.astype(np.int32), "rank": rank})
-
-    def _vocabulary(self) -> None:
-        # bytes travel as the characters of the same numbers
-        self._table("vocabulary", {"id": pa.array(list(self.ranks.values()), pa.int32()), "bytes": pa.array([t.decode("latin-1") for t in self.ranks])})
+        chars = _characters(np.array(merges))
+        pairs = chars[:, :2].tobytes().decode("utf-32-le")
+        self._table("merges", {"pair": [pairs[i : i + 2] for i in range(0, len(pairs), 2)], "made": chars[:, 2].astype(np.int64)})
 
     def _contract(self, words: list[bytes]) -> list[bytes]:
         """The ids of each word as little-endian unsigned 32-bit numbers."""
         if "merges" not in self.tables:
             self._merges()
-        size = np.array([len(w) for w in words])
-        raw = np.frombuffer(b"".join(words), np.uint8)
-        pos = np.arange(len(raw)) - np.repeat(np.cumsum(size) - size, size)
-        self._table("start", {"place": (np.repeat(np.arange(len(words)), size) << 32) | pos, "tok": self.single[raw]})
-        got = self.db.execute(CONTRACT).fetchnumpy()
-        at = (4 * np.searchsorted(got["word"], np.arange(len(words) + 1))).tolist()
-        ids = got["tok"].astype("<u4").tobytes()
+        ends = np.cumsum([len(w) for w in words]).tolist()
+        chars = _characters(self.single)[np.frombuffer(b"".join(words), np.uint8)].tobytes().decode("utf-32-le")
+        self._table("start", {"word": np.arange(len(words), dtype=np.int32), "toks": pa.array([chars[a:z] for a, z in zip([0, *ends], ends, strict=False)], pa.string())})
+        got = [toks for (toks,) in self.db.execute(CONTRACT).fetchall()]
+        at = (4 * np.cumsum([0, *map(len, got)])).tolist()
+        ids = _ids(np.frombuffer("".join(got).encode("utf-32-le"), "<u4")).tobytes()
         return [ids[a:z] for a, z in zip(at, at[1:], strict=False)]
 
     def _long(self, word: bytes) -> list[int]:
@@ -117,53 +124,74 @@ class Coder:
                     heapq.heappush(heap, (rank, a, part[a], part[after[a]]))
         return [t for t in tok if t >= 0]
 
-    def _learn(self, words: list[tuple[str, bytes]]) -> None:
-        self.known.update(zip([w for w, _ in words], self._contract([raw for _, raw in words]), strict=True))
-
-    def _chunks(self, chunks: list[str]) -> list[bytes]:
-        if self.known_bytes > CACHE_BYTES:
-            self.known.clear()
-            self.known_bytes = 0
-        findall, known = self.pattern.findall, self.known
-        split = [findall(c) for c in chunks]
-        new = []
-        for w in dict.fromkeys(chain.from_iterable(split)):
-            if w in known:
-                continue
+    def _recall(self, words: list[str]) -> list[bytes | None]:
+        """The ids of the words that are known; those that only the older half of
+        the cache holds are taken over into the newer."""
+        known, older = self.known, self.older
+        ids = list(map(known.get, words))
+        for i, b in enumerate(ids):
+            if b is None and (b := older.get(w := words[i])) is not None:
+                ids[i] = known[w] = b
+                self.known_bytes += 200 + 5 * len(w)  # a word, its ids and its entry, at most
+        return ids
+
+    def _encoded(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of distinct words that are not known."""
+        made, new = {}, []
+        for w in words:
             raw = w.encode()
-            self.known_bytes += 200 + 5 * len(raw)  # a word, its ids and its entry, at most
             if (r := self.ranks.get(raw)) is not None:
-                known[w] = r.to_bytes(4, "little")
+                made[w] = r.to_bytes(4, "little")
             elif len(raw) > LONGEST:
-                known[w] = np.array(self._long(raw), "<u4").tobytes()
+                made[w] = np.array(self._long(raw), "<u4").tobytes()
             else:
                 new.append((w, raw))
         new.sort(key=lambda x: len(x[1]))  # words of a length need about the same rounds
         batch, load = [], 0
-        for x in new:
-            batch.append(x)
-            load += len(x[1]) ** 2
-            if load >= QUERY_ROWS:
-                self._learn(batch)
+        for x in [*new, None]:
+            if batch and (x is None or load >= QUERY_ROWS):
+                made.update(zip([w for w, _ in batch], self._contract([raw for _, raw in batch]), strict=True))
                 batch, load = [], 0
-        if batch:
-            self._learn(batch)
-        return [known[words[0]] if len(words) == 1 else b"".join([known[w] for w in words]) for words in split]
+            if x is not None:
+                batch.append(x)
+                load += len(x[1]) ** 2
+        return made
+
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
+        if self.known_bytes > CACHE_BYTES // 2:
+            self.older, self.known, self.known_bytes = self.known, {}, 0
+        ids, findall = self._recall(chunks), self.pattern.findall
+        left = [i for i, b in enumerate(ids) if b is None]
+        split = [findall(chunks[i]) for i in left]
+        single = [words[0] for words in split if len(words) == 1]
+        met = list(dict.fromkeys(chain.from_iterable(words for words in split if len(words) != 1)))
+        of = dict(zip(met, self._recall(met), strict=True))
+        of = {w: b for w, b in of.items() if b is not None}
+        fresh = self._encoded(list(dict.fromkeys(w for w in chain(single, met) if w not in of)))
+        plain = {words[0] for i, words in zip(left, split, strict=True) if words == [chunks[i]]}
+        for w, b in fresh.items():
+            if w in plain or findall(w) == [w]:
+                self.known[w] = b
+                self.known_bytes += 200 + 5 * len(w)
+        of.update(fresh)
+        for i, words in zip(left, split, strict=True):
+            ids[i] = of[words[0]] if len(words) == 1 else b"".join([of[w] for w in words])
+        return ids
 
     def decode(self, ids: np.ndarray, starts: np.ndarray) -> list[bytes]:
         """The bytes of each text; its ids are ``ids[starts[i]:starts[i + 1]]``."""
-        if "vocabulary" not in self.tables:
-            self._vocabulary()
-        out = [b""] * (len(starts) - 1)
-        for at in range(0, len(ids), QUERY_IDS):
-            part = ids[at : at + QUERY_IDS].astype(np.int32)
-            pos = np.arange(len(part), dtype=np.int32)
-            self._table("ids", {"text": (np.searchsorted(starts, pos + at, "right") - 1).astype(np.int32), "pos": pos, "id": part})
-            for i, s, unknown in self.db.execute(DECODE).fetchall():
-                if unknown:
-                    raise ValueError("ids outside the vocabulary")
-                out[i] += s.encode("latin-1")
-        return out
+        if self.vocabulary is None:
+            of = {r: t for t, r in self.ranks.items()}
+            self.vocabulary = pa.array([of.get(i) for i in range(max(of) + 1)], pa.large_binary())
+        if len(ids) and not 0 <= int(ids.min()) <= int(ids.max()) < len(self.vocabulary):
+            raise ValueError("ids outside the vocabulary")
+        found = self.vocabulary.take(pa.array(ids))
+        if found.null_count:
+            raise ValueError("ids outside the vocabulary")
+        _, offsets, data = found.buffers()
+        at = np.frombuffer(offsets, np.int64)[np.asarray(starts)].tolist() if len(ids) else [0] * len(starts)
+        raw = memoryview(data) if data else b""
+        return [bytes(raw[a:z]) for a, z in zip(at, at[1:], strict=False)]
 
 
 @lru_cache(maxsize=2)
