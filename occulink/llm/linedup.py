@@ -22,7 +22,8 @@ run can only occur again if each of its lines does.  Blocks send their distinct
 hash and content, to buckets, which compare the contents byte by byte and return one
 bit a line.  From then on equal hashes of lines are equal lines; blocks send the line
 hashes of chunks and runs of repeated lines to buckets, which compare them one by one
-with those of the first occurrence.
+with those of the first occurrence.  (``lines`` to ``holes`` are the plain forms of the
+steps on arrays, on one text.)
 """
 
 from __future__ import annotations
@@ -407,17 +408,17 @@ def _spans(hashes: np.ndarray, begins: np.ndarray, finishes: np.ndarray, words:
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def _block_spans(b: pa.RecordBatch, x: int, buckets: int, rules: Rules) -> tuple[dict, np.ndarray, tuple[np.ndarray, ...], np.ndarray, np.ndarray]:
+def _block_spans(b: pa.RecordBatch, x: int, buckets: int, rules: Rules) -> tuple[dict, np.ndarray, tuple[np.ndarray, ...], np.ndarray]:
     """Of block ``x`` of a batch: its arrays, which lines occur again, its ``_spans``
     dealt to twice as many buckets as lines are, and where the buckets begin."""
     a = _arrays(b, x)
     again = _again(a["hashes"], b.column(b.schema.names.index("flags"))[x].as_py() or [], buckets)
     if not len(again):
-        return a, again, (np.zeros(0, np.int64),) * 9, np.zeros(0, np.int64), np.zeros(2 * buckets + 1, np.int64)
+        return a, again, (np.zeros(0, np.int64),) * 9, np.zeros(2 * buckets + 1, np.int64)
     spans = _spans(a["hashes"], a["begins"], a["finishes"], a["words"], a["counts"], a["lengths"], again, rules)
     bucket = (spans[4] >> np.uint64(40)) % np.uint64(2 * buckets)
     order = np.argsort(bucket, kind="stable")
-    return a, again, tuple(v[order] for v in spans), order, np.searchsorted(bucket[order], np.arange(2 * buckets + 1, dtype=np.uint64))
+    return a, again, tuple(v[order] for v in spans), np.searchsorted(bucket[order], np.arange(2 * buckets + 1, dtype=np.uint64))
 
 
 def _line_counts(blocks: DataFrame) -> int:
@@ -434,7 +435,7 @@ def chunk_rows(numbered: DataFrame, rules: Rules) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for x in range(b.num_rows):
-                a, _, spans, _, _ = _block_spans(b, x, buckets, rules)
+                a, _, spans, _ = _block_spans(b, x, buckets, rules)
                 text, at, begin, finish = (v.astype(np.int64) for v in spans[:4])
                 made = [pa.array(v.astype(np.int32)) for v in (at, begin, finish)]
                 ids = b.column(b.schema.names.index("ids"))[x].values.take(pa.array(text))
@@ -497,7 +498,7 @@ def repeated_spans(flagged: DataFrame, buckets: int, rules: Rules) -> DataFrame:
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for x in range(b.num_rows):
-                a, again, spans, _, starts = _block_spans(b, x, buckets, rules)
+                a, again, spans, starts = _block_spans(b, x, buckets, rules)
                 text, at, begin, finish, hashes, back, first, last, ahead = spans
                 text, size = text.astype(np.int64), ahead - back
                 ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(size)])
@@ -599,7 +600,7 @@ def remove_repeats(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for x in range(b.num_rows):
-                a, _, found, _, starts = _block_spans(b, x, buckets, rules)
+                a, _, found, starts = _block_spans(b, x, buckets, rules)
                 made = [np.zeros(len(found[0]), k) for k in (np.uint8, np.int32, np.int32)]
                 for r in b.column(b.schema.names.index("spans"))[x].as_py() or []:
                     for v, k in zip(made, ("code", "back", "ahead"), strict=True):
