@@ -1,4 +1,4 @@
-"""Rows that travel as text: packed columns, records as values, pairs."""
+"""Rows that travel as text: packed columns, records as values, pairs, and cells that stay."""
 
 import math
 
@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from occulink.functions.packing import pack, unpack
 from occulink.functions.records import record_json, record_values, with_record_texts
-from occulink.operators import blocking
+from occulink.operators import blocking, cellstore, export, relate
 from occulink.operators.features import partition_by_record
 from occulink.plans import queries
 from tests.conftest import SF_SMALL
 from tests.records import records_df
 
+REL = "id1 string, id2 string, reasons string, dataset1 string, dataset2 string, o1 string, o2 string"
 ODD_TEXTS = ["", "plain", "a\x1fb", "\x1e", "\x02", "\x03", "null", '"q"', "é𝄞", " ", "\\", "a,b", '","datasetKey":"x', ',"year":1', "\x1f\x1f"]
 
 
@@ -54,6 +55,17 @@ def test_records_moved_as_values_become_the_same_json(spark):
     assert shown(partition_by_record(recs, 4, packed=True)) == shown(recs)
 
 
+def test_cells_of_values_are_the_cells_of_the_json(spark):
+    recs = odd_records(spark)
+    rel = recs.select(F.col("gbifId").alias("id1"), F.lit("z").alias("id2"), F.lit("X").alias("reasons"), F.col("datasetKey").alias("dataset1"), F.lit("d").alias("dataset2"), record_values().alias("o1"), record_values().alias("o2"))
+    texts = with_record_texts(rel, ("o1", "o2"))
+    assert cellstore.range_tasks(rel, True, 100) == cellstore.range_tasks(texts, True, 100)
+    for make in (lambda r: export.export_cells(r, 7), lambda r: cellstore.ordered_cells(r, cellstore.Layout(buckets=7))):
+        assert shown(make(rel)) == shown(make(texts))
+    both = relate.both_directions(rel)
+    assert shown(with_record_texts(both, ("o1", "o2"))) == shown(relate.both_directions(texts))
+
+
 def test_pairs_are_the_same_by_either_method(spark):
     rows = [(f"r{i % 23}", f"d{i % 4}", f"K{i * i % 31}") for i in range(400)]
     rows += [("r1", "d9", "K1"), (None, "d0", "K1"), ("n", None, "K1"), ("m", "d0", None), ("m", "d0", None)]
@@ -67,3 +79,16 @@ def test_pairs_and_features_travel_as_little_text(spark):
         plan = optimized(queries.QUERIES[name](spark, SF_SMALL))
         assert "collect_set" not in plan and "RepartitionByExpression [id1" in plan, name  # no lists of keys travel
         assert name == "candidate_records" or "_packed" in plan, name
+
+
+def test_looked_up_cells_stay_but_for_positions_of_both_kinds(spark):
+    pairs = [("a", "b:d"), ("a:b", "d"), ("a", "c"), ("b", "a"), ("", "q"), (None, "x"), ("c", None), ("a", "c")] + [(f"i{n}", f"j{n % 3}") for n in range(200)]
+    rel = spark.createDataFrame([(a, b, "X", "d1", None, "{}", "{}") for a, b in pairs], REL)
+    cells = export.cells(rel, 1)
+    ids = spark.createDataFrame([("a",), ("a",), ("",), (None,), ("nope",)] + [(f"i{n}",) for n in range(0, 200, 3)], "id string")
+    for wanted in (ids, ids.limit(0), ids.where("id = 'a'")):
+        want = shown(export.related_records(cells, wanted, 1))
+        for bits in (1, 8, 256, 1 << 15, 1 << 20):
+            got = export.related_records(cells, wanted, 1, bits)
+            assert got.columns == cells.columns and shown(got) == want, bits
+    assert "LeftSemi" not in optimized(got)  # it would be pushed below the bitmaps, and every cell shuffled
